@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, overlaps, splits
+from . import copies, overlaps, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.found(read_table(spark, sf, "eval_records"))
+
+
+def p1_report(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.report(read_table(spark, sf, "eval_records"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return splits.parted(read_table(spark, sf, "built_samples"))
 
