@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, overlaps, splits, truncation
+from . import copies, overlaps, pairs, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.report(read_table(spark, sf, "eval_records"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pairs.defects(read_table(spark, sf, "eval_records"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return splits.parted(read_table(spark, sf, "built_samples"))
 
