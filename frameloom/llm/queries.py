@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, overlaps, pairs, splits, truncation
+from . import copies, leaks, overlaps, pairs, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,5 +48,13 @@ def p6_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return copies.collapse(read_table(spark, sf, "built_samples"), read_table(spark, sf, "template_records"))
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark_items"))
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.report(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark_items"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
