@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, leaks, overlaps, pairs, splits, truncation
+from . import copies, leaks, overlaps, pairs, pii, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,5 +56,13 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.report(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark_items"))
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.found(read_table(spark, sf, "documents"), read_table(spark, sf, "annotators"))
+
+
+def p10_sanitised(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.sanitised(read_table(spark, sf, "documents"), read_table(spark, sf, "annotators"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
