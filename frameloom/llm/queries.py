@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, leaks, overlaps, pairs, pii, splits, truncation
+from . import copies, leaks, overlaps, pairs, pii, sampling, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,18 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlaps.report(read_table(spark, sf, "built_samples"), read_table(spark, sf, "template_records"))
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.unreachable(spark, read_table(spark, sf, "built_samples"), read_table(spark, sf, "sample_targets"))
+
+
+def p5_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample(spark, read_table(spark, sf, "built_samples"), read_table(spark, sf, "sample_targets"))
+
+
+def p5_report(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.report(spark, read_table(spark, sf, "built_samples"), read_table(spark, sf, "sample_targets"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return copies.find_copies(read_table(spark, sf, "built_samples"), read_table(spark, sf, "template_records"))
 
@@ -48,6 +60,10 @@ def p6_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return copies.collapse(read_table(spark, sf, "built_samples"), read_table(spark, sf, "template_records"))
 
 
+def p7_stable(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.stable(spark, read_table(spark, sf, "built_samples"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark_items"))
 
