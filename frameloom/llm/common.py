@@ -42,10 +42,14 @@ def words(c: Column) -> Column:
     return F.filter(F.split(kept, r"[\p{Z}\s]+"), lambda w: w != "")
 
 
-def parsed_row(c: Column) -> Column:
-    """The row_json as a struct; null if it is null or can't be read."""
-    row = F.from_json(c, ROW, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return F.when(row["_corrupt"].isNull() & (row["messages"].isNotNull() | row["images"].isNotNull() | row["videos"].isNotNull()), row)
+def parsed(df: DataFrame, c: str, name: str, schema: T.StructType = ROW) -> DataFrame:
+    """df with the struct name in place of the JSON column c; null if that is null or can't be read.
+
+    The parsed struct is a projection of its own, so that it isn't parsed again for each use.
+    """
+    rest = [x for x in df.columns if x != c]
+    read = df.select(*rest, F.from_json(c, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("_row"))
+    return read.select(*rest, F.when(F.col("_row")["_corrupt"].isNull(), F.col("_row")).alias(name))
 
 
 def assistant_text(row: Column) -> Column:
@@ -59,6 +63,9 @@ def digest(*c: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\u0000", *c)))
 
 
+#: The same, for operators that need the messages only.
+MESSAGES = T.StructType([ROW["messages"], ROW["_corrupt"]])
+
 #: A key is hot if it has this share of all rows, and HOT_ROWS at least. So at most 1 / HOT_SHARE keys are hot, which bounds what is broadcast.
 HOT_SHARE, HOT_ROWS = 0.001, 5_000
 #: Partial counts of key buckets find the few buckets that can hold a hot key.

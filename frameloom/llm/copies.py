@@ -21,12 +21,11 @@ def letters(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", "")
 
 
-def sample_content(row_json: Column) -> Column:
-    """What makes two samples copies: images, videos and, by role, letters and digits of the messages; field order doesn't count.
+def sample_content(row: Column) -> Column:
+    """What makes two parsed samples copies: images, videos and, by role, letters and digits of the messages; field order doesn't count.
 
     Null for null or unreadable JSON, and for rows without any message, image or video.
     """
-    row = C.parsed_row(row_json)
     said = F.array_sort(F.transform(F.coalesce(row["messages"], F.array()), lambda m, i: F.struct(F.coalesce(m["role"], F.lit("")).alias("role"), i.alias("i"), letters(m["content"]).alias("said"))))
     empty = (F.coalesce(F.size(row["messages"]), F.lit(0)) < 1) & (F.coalesce(F.size(row["images"]), F.lit(0)) < 1) & (F.coalesce(F.size(row["videos"]), F.lit(0)) < 1)
     parts = F.struct(F.transform(said, lambda m: F.struct(m["role"], m["said"])).alias("m"), F.coalesce(row["images"], F.array()).alias("i"), F.coalesce(row["videos"], F.array()).alias("v"))
@@ -41,7 +40,8 @@ def template_content(source_image: Column, source_text: Column) -> Column:
 
 def keyed(df: DataFrame, table: str, key: str, content: Column) -> DataFrame:
     """(table_name, key, content): one row a record that can have copies; content as 16 bytes."""
-    return df.select(F.lit(table).alias("table_name"), F.col(key).cast("long").alias("key"), C.digest(F.lit(table), content).alias("content"), content.isNull().alias("none")).where(~F.col("none") & F.col("key").isNotNull()).drop("none")
+    made = df.select(F.lit(table).alias("table_name"), F.col(key).cast("long").alias("key"), content.alias("content")).where(F.col("content").isNotNull() & F.col("key").isNotNull())
+    return made.withColumn("content", C.digest(F.lit(table), F.col("content")))
 
 
 def classes(rows: DataFrame, hot: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def copies(rows: DataFrame, hot: DataFrame) -> DataFrame:
 def prepare(built: DataFrame, templates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keyed rows of both tables, staged so that JSON is parsed once, and their hot keys."""
     rows = stage(
-        keyed(built, "built_samples", "sample_key", sample_content(F.col("row_json"))).unionByName(
+        keyed(C.parsed(built.select("sample_key", "row_json"), "row_json", "row"), "built_samples", "sample_key", sample_content(F.col("row"))).unionByName(
             keyed(templates, "template_records", "record_id", template_content(F.col("source_image"), F.col("source_text")))
         )
     )

@@ -48,14 +48,16 @@ def pieces(n: int) -> list[tuple[int, int]]:
 SHORT_LENGTHS = sorted({m for m in range(LEAST, 140) for n in range(LEAST, m + 1) if m - n <= allowed(m) and n // GRAM < allowed(m) + 1})
 
 
-def grams(w: Column, size: int) -> Column:
-    """Hashes of all grams of so many words, by position."""
-    return F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(F.slice(w, i + 1, size)))).otherwise(F.array().cast("array<long>"))
+def grams(hashes: Column, size: int) -> Column:
+    """Hashes of all grams of so many words, by position, from the hashes of the words."""
+    made = F.transform(F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(size)]))
+    return F.when(F.size(hashes) >= size, made).otherwise(F.array().cast("array<long>"))
 
 
-def sketch(w: Column, seed: int) -> Column:
+def sketch(hashes: Column, shift: int) -> Column:
     """64 bits, one set for each word."""
-    return F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(64)).cast("int"))))
+    bit = lambda x: F.pmod(F.shiftright(x, shift), F.lit(64)).cast("int")
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit(x))))
 
 
 def texts(built: DataFrame, templates: DataFrame) -> DataFrame:
@@ -65,7 +67,7 @@ def texts(built: DataFrame, templates: DataFrame) -> DataFrame:
     """
     part = C.canon_split(F.col("split"))
     of = built.select(F.col("sample_key").alias("key"), part.isin("val", "test").alias("side"), part.alias("part"), F.col("sample_id").alias("id"), F.col("row_json").alias("json")).where(F.col("part").isin("train", "val", "test"))
-    said = of.select("key", "side", C.assistant_text(C.parsed_row(F.col("json"))).alias("raw"))
+    said = C.parsed(of.select("key", "side", "json"), "json", "row", C.MESSAGES).select("key", "side", C.assistant_text(F.col("row")).alias("raw"))
     other = templates.select(F.col("sample_id").alias("id"), F.col("source_text").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     named = of.select("key", "side", "id").join(other, "id").select("key", "side", "raw")
     w = C.words(F.col("raw"))
@@ -162,18 +164,20 @@ def linked(classes: DataFrame) -> DataFrame:
 
     classes: class, text, train, other (whether it has such rows).
     """
-    w = F.split("text", " ")
-    size = F.size("w").alias("n")
-    base = classes.withColumn("w", w)
-    made = [grams(F.col("w"), GRAM).alias("g"), grams(F.col("w"), SHORT).alias("h"), sketch(F.col("w"), 1).alias("a"), sketch(F.col("w"), 2).alias("b")]
-    seen = base.where("other").select("class", size, *made)
-    short = F.when(F.col("n").isin(SHORT_LENGTHS), F.col("h")).otherwise(F.array().cast("array<long>"))
+    base = classes.select("class", "train", "other", F.transform(F.split("text", " "), lambda w: F.xxhash64(w)).alias("w")).withColumn("n", F.size("w"))
+    w, none = F.col("w"), F.array().cast("array<long>")
+    sketches = [sketch(w, 0).alias("a"), sketch(w, 17).alias("b")]
+    placed = lambda g: F.transform(g, lambda x, i: F.struct(i.alias("at"), x.alias("gram")))
+    # inline_outer, as every text has grams: for inline Spark would compute them once more to filter empty ones
     # grams of SHORT words are told apart from the others by their hash alone: an equal hash by chance only adds a pair to check
-    every = seen.select("class", "n", "a", "b", F.posexplode("g").alias("at", "gram")).unionByName(seen.select("class", "n", "a", "b", F.posexplode(short).alias("at", "gram")))
+    seen = base.where("other")
+    both = F.concat(placed(grams(w, GRAM)), placed(F.when(F.col("n").isin(SHORT_LENGTHS), grams(w, SHORT)).otherwise(none)))
+    every = seen.select("class", "n", *sketches, both.alias("g")).select("class", "n", "a", "b", F.inline_outer("g"))
     table = np.zeros(TABLE, np.int32)
-    for r in every.groupBy(F.col("gram").bitwiseAND(F.lit(TABLE - 1).cast("long")).cast("int").alias("k")).agg(F.count(F.lit(1)).cast("int").alias("n")).toLocalIterator():
+    for r in seen.select(F.inline_outer(both)).groupBy(F.col("gram").bitwiseAND(F.lit(TABLE - 1).cast("long")).cast("int").alias("k")).agg(F.count(F.lit(1)).cast("int").alias("n")).toLocalIterator():
         table[r["k"]] = r["n"]
-    index = base.where("train").select("class", size, *made).mapInPandas(choose(table), "class binary, n int, at int, gram long, a long, b long")
+    short = F.when((F.col("n") < 140) & ~F.col("n").isin([n for n in range(140) if len(pieces(n)) == 1]), grams(w, SHORT)).otherwise(none)
+    index = base.where("train").select("class", "n", grams(w, GRAM).alias("g"), short.alias("h"), *sketches).mapInPandas(choose(table), "class binary, n int, at int, gram long, a long, b long")
     t, e = index.alias("t"), every.alias("e")
     longer = F.greatest("t.n", "e.n")
     limit = F.floor(longer * EDITS / 100)
