@@ -21,7 +21,7 @@ def _exploded(df: DataFrame, key: str, *more: str) -> DataFrame:
     """(key, at, shingle, more) of df's words w, for texts of RUN words at least."""
     there = df.where(F.size("w") >= RUN).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
     held = F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(SHINGLE)]).alias("shingle")))
-    return there.select(key, *more, F.inline(held))
+    return there.select(key, *more, F.inline_outer(held))  # never empty here; for inline Spark would compute it twice
 
 
 def prefixes(items: DataFrame, corpus: DataFrame) -> DataFrame:
