@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import copies, leaks, overlaps, pairs, pii, sampling, splits, truncation
+from . import copies, leaks, mixing, overlaps, pairs, pii, sampling, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,14 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.report(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark_items"))
 
 
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(spark, read_table(spark, sf, "documents"), read_table(spark, sf, "mix_targets"))
+
+
+def p9_report(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.report(spark, read_table(spark, sf, "documents"), read_table(spark, sf, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return pii.found(read_table(spark, sf, "documents"), read_table(spark, sf, "annotators"))
 
