@@ -1,0 +1 @@
+"""Readers: annotation documents, JSON lines, file listings, archives."""
