@@ -100,6 +100,13 @@ def oracle_sql() -> dict[str, str]:
       g AS (SELECT user_id, scale, position, frames, least(len(frames) - 1, greatest(4, round_even((len(frames) - 1) * ratio, 0)::INTEGER)) AS endpoint FROM f, c),
       h AS (SELECT *, array_to_string({_even('(endpoint + 1)', 5, 'frames')}, ',') AS chosen FROM g)
       SELECT user_id, scale, 0 AS variant, endpoint, chosen FROM h QUALIFY row_number() OVER (PARTITION BY user_id, chosen ORDER BY position) = 1"""
+    tries = "range(-1, CASE WHEN len(frames) <= 6 THEN 0 ELSE 30 END)"
+    span = "CASE WHEN i < 0 THEN len(frames) ELSE least([24, 48, 96, 192][i % 4 + 1], len(frames)) END"
+    start = "CASE WHEN i < 0 THEN 0 ELSE ('0x' || substr(sha1('83:' || user_id || ':' || i), 1, 8))::BIGINT % (len(frames) - span + 1) END"
+    q["window_variants"] = f"""WITH {FRAMES}, a AS (SELECT user_id, frames, unnest({tries}) AS i FROM f), b AS (SELECT *, {span} AS span FROM a), c AS (SELECT *, {start} AS start FROM b),
+      d AS (SELECT user_id, i, array_to_string({_even('span', 6, 'frames[start + 1:start + span]')}, ',') AS chosen FROM c),
+      e AS (SELECT user_id, chosen, min(i) AS i FROM d GROUP BY user_id, chosen)
+      SELECT user_id, variant, chosen FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS variant FROM e) WHERE variant < 3"""
     q["active_keys"] = "SELECT event_id, concat_ws(',', '900', CASE WHEN value > 20 THEN (user_id + 1000)::VARCHAR END) AS keys FROM events WHERE event_type <> 'click' UNION ALL SELECT event_id, concat_ws(',', '7', '900', CASE WHEN value > 20 THEN (user_id + 1000)::VARCHAR END) FROM events WHERE event_type = 'click'"
     q["unnest_map"] = "SELECT name, count(*) AS n, sum(json_extract(props, '$.' || name)::BIGINT)::BIGINT AS total FROM (SELECT props, unnest(json_keys(props)) AS name FROM events) GROUP BY name"
     q["bbox_parse"] = """WITH b AS (SELECT l_linenumber,
