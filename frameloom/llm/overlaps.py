@@ -44,8 +44,13 @@ def pieces(n: int) -> list[tuple[int, int]]:
     return [(GRAM, min(need, fit))] + ([(SHORT, min(need, n // SHORT))] if fit < need else [])
 
 
-#: Lengths of evaluation texts that may need SHORT grams. Beyond 120 words GRAM words always fit often enough.
-SHORT_LENGTHS = sorted({m for m in range(LEAST, 140) for n in range(LEAST, m + 1) if m - n <= allowed(m) and n // GRAM < allowed(m) + 1})
+def short_partners(n: int) -> list[int]:
+    """Lengths of evaluation texts that need SHORT grams to meet a training text of n words: GRAM words don't fit once more than edits are allowed."""
+    return [m for m in range(max(LEAST, n - most(n)), n + most(n) + 1) if abs(m - n) <= allowed(max(m, n)) and n // GRAM < allowed(max(m, n)) + 1]
+
+
+#: All such lengths. Beyond 120 words GRAM words always fit often enough.
+SHORT_LENGTHS = sorted({m for n in range(LEAST, 140) for m in short_partners(n)})
 
 
 def grams(hashes: Column, size: int) -> Column:
