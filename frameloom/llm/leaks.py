@@ -58,11 +58,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text:
         .where(F.least("at", "there") + F.least(F.col("length") - F.col("at"), F.col("size") - F.col("there")) >= RUN)
         .select("doc_id", "item_id", "at", "there")
     )
-    # few documents have a match; only these are read again for the words around it
-    spots = found.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "at", "there")).alias("spots"))
-    near = corpus.join(spots, "doc_id").select("doc_id", "w", F.inline("spots"))
+    # few documents have a match; only these are read again for the words around it, and their words are parted after the join
+    spots = small(stage(found.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "at", "there")).alias("spots"))))
+    raw = documents.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(spots, "doc_id")
+    near = raw.select("doc_id", C.words(F.col("text")).alias("w"), "spots").select("doc_id", "w", F.inline_outer("spots"))
     span = F.greatest(F.lit(0), F.col("at") - F.col("there"))
-    window = near.join(held.select("item_id", "there", "iw").distinct(), ["item_id", "there"]).select("doc_id", "item_id", (F.col("at") - span).alias("at"), "there", F.slice("w", span + 1, F.size("iw") + SHINGLE).alias("w"), "iw")
+    window = near.join(small(held.select("item_id", "there", "iw").distinct()), ["item_id", "there"]).select("doc_id", "item_id", (F.col("at") - span).alias("at"), "there", F.slice("w", span + 1, F.size("iw") + SHINGLE).alias("w"), "iw")
     reach = RUN - SHINGLE
     same = lambda d: F.get(F.col("w"), F.col("at") + d).eqNullSafe(F.get(F.col("iw"), F.col("there") + d)) & F.get(F.col("w"), F.col("at") + d).isNotNull()
     equal = F.transform(F.sequence(F.lit(-reach), F.lit(RUN - 1)), lambda d: same(d))
