@@ -63,7 +63,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text:
     raw = documents.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(spots, "doc_id")
     near = raw.select("doc_id", C.words(F.col("text")).alias("w"), "spots").select("doc_id", "w", F.inline_outer("spots"))
     span = F.greatest(F.lit(0), F.col("at") - F.col("there"))
+    # written first, as the condition below would else be pushed down and part the words again for each use
     window = near.join(small(held.select("item_id", "there", "iw").distinct()), ["item_id", "there"]).select("doc_id", "item_id", (F.col("at") - span).alias("at"), "there", F.slice("w", span + 1, F.size("iw") + SHINGLE).alias("w"), "iw")
+    window = stage(window)
     reach = RUN - SHINGLE
     same = lambda d: F.get(F.col("w"), F.col("at") + d).eqNullSafe(F.get(F.col("iw"), F.col("there") + d)) & F.get(F.col("w"), F.col("at") + d).isNotNull()
     equal = F.transform(F.sequence(F.lit(-reach), F.lit(RUN - 1)), lambda d: same(d))
