@@ -27,7 +27,10 @@ def sha1_seed(value: Column, base: int = 0) -> Column:
 
 
 def python_float(x: Column) -> Column:
-    """A double as Python writes it: plain between 1e-4 and 1e16, else with a two-digit exponent."""
+    """A double as Python writes it: plain between 1e-4 and 1e16, else with a two-digit exponent.
+
+    The digits are those of the JVM, which has one more than needed for some values beyond 1e16 before Java 19.
+    """
     raw = x.cast("string")
     mantissa = F.regexp_extract(raw, r"^(-?[\d.]+)E(-?\d+)$", 1)
     power = F.regexp_extract(raw, r"^(-?[\d.]+)E(-?\d+)$", 2)

@@ -10,7 +10,7 @@ def even_positions(n: Column, count: int) -> Column:
     """Positions of count items spread evenly over n, both ends included, rounded half to even; all positions if n is not larger."""
     every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     spread = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.rint(i * (n - 1) / F.lit(max(1, count - 1))).cast("int"))
-    return F.when(n <= count, every.cast("array<int>")).otherwise(spread)
+    return F.when(n <= count, every.cast("array<int>")).when(n > count, spread)
 
 
 def even_sample(values: Column, count: int) -> Column:

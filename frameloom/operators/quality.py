@@ -57,6 +57,10 @@ def reference_text(df: DataFrame, strict: bool = False) -> Column:
     return F.coalesce(found, F.raise_error(F.lit("a row has no reference"))) if strict else found
 
 
+def _prefixed(items: Column, text: str) -> Column:
+    return F.transform(items, lambda p: F.concat(F.lit(text), p))
+
+
 def row_errors(messages: Column, images: Column, videos: Column, roles: tuple[tuple[str, ...], ...] = ROLES, missing: Column | None = None, corrupt: Column | None = None) -> Column:
     """All errors of a row, as an array: messages, roles, empty answer, placeholders against media, missing and corrupt media (arrays of paths)."""
     n = F.coalesce(F.size(messages), F.lit(-1))
@@ -77,7 +81,7 @@ def row_errors(messages: Column, images: Column, videos: Column, roles: tuple[tu
     found = F.array_compact(F.array(*tests))
     for paths, text in ((missing, "missing media file: "), (corrupt, "corrupt image: ")):
         if paths is not None:
-            found = F.concat(found, F.coalesce(F.transform(paths, lambda p, text=text: F.concat(F.lit(text), p)), F.array().cast("array<string>")))
+            found = F.concat(found, F.coalesce(_prefixed(paths, text), F.array().cast("array<string>")))
     return found
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import plain_path
+
 
 def document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A file (or each of several) that is one JSON document: an object gives a row, an array a row an element."""
@@ -47,7 +49,7 @@ def numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     Lines are numbered inside each file, which is read whole by one task; that suits many files of moderate size.
     """
-    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
+    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(plain_path(F.col("_metadata.file_path")).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
     there = text.where(F.trim("text") != "").select("file", (F.col("i") + 1).alias("line"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
     return there.select("file", "line", F.when(F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
 
@@ -67,4 +69,4 @@ def motion_expressions(doc: DataFrame) -> DataFrame:
 
 def annotation_files(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
     """One row a file that a glob matches, with its path (column file)."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(pattern).select("*", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("file"))
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(pattern).select("*", plain_path(F.col("_metadata.file_path")).alias("file"))

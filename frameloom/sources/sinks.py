@@ -17,12 +17,14 @@ def write_lines(df: DataFrame, path: str, order: str | None = None, mode: str =
     made.select(F.to_json(F.struct(*[c for c in df.columns if c != order])).alias("value")).write.mode(mode).text(path)
 
 
-def write_file(df: DataFrame, path: str, order: str | None = None) -> int:
+def write_file(df: DataFrame, path: str, order: str | None = None, keep_order: bool = False) -> int:
     """One named JSON-lines file, in order, written on the driver row by row and renamed when complete; the number of rows.
 
+    The column of the order is left out unless keep_order.
+
     For deliveries that need a single file: rows stream through the driver, at no time more than one partition of them.
     """
-    rows = (df.orderBy(order) if order else df).select(F.to_json(F.struct(*[c for c in df.columns if c != order])).alias("value"))
+    rows = (df.orderBy(order) if order else df).select(F.to_json(F.struct(*[c for c in df.columns if keep_order or c != order])).alias("value"))
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     n, half = 0, f"{path}.part"
     with open(half, "w", encoding="utf-8", newline="\n") as f:
