@@ -65,7 +65,7 @@ def blocks(documents: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     counted = stage(docs.mapInPandas(token_counts(path), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, source string, tokens long").withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")))
     totals = counted.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens"))
     # each bucket of a source holds few rows: their number follows the source's size
-    per = totals.select("source", F.greatest(F.lit(1), F.ceil(F.col("docs") / 5000)).cast("long").alias("buckets"))
+    per = totals.select("source", F.greatest(F.lit(1), F.ceil(F.col("docs") / 50_000)).cast("long").alias("buckets"))
     placed = counted.join(F.broadcast(per), "source").withColumn("bucket", F.floor((F.col("h").cast("double") / float(1 << 64) + 0.5) * F.col("buckets")).cast("long"))  # totals: as many rows as sources, see mix()
     sums = placed.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
     before = sums.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("source", "bucket", F.coalesce("base", F.lit(0)).alias("base"))

@@ -177,4 +177,4 @@ def stable(spark: SparkSession, rows: DataFrame, rates: tuple[float, ...] = (0.1
         registry.insert(base.where((F.col("batch_no") >= low) & (F.col("batch_no") < (high if i + 1 < k else ends[1] + 1))))
         threshold = max(threshold, rate)
     chosen = registry.table().where(F.col("u") < threshold)
-    return base.join(chosen, "id").select("sample_key", "sample_id", F.col("batch_no").cast("int").alias("batch_no"), "u")
+    return C.lookup(base, chosen, "id", C.hot_keys(base, "id")).select("sample_key", "sample_id", F.col("batch_no").cast("int").alias("batch_no"), "u")
