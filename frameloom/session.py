@@ -92,3 +92,11 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks df for broadcasting if it has at most so many rows; otherwise Spark picks a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def fixed_rows(df: DataFrame, most: int) -> list:
+    """The rows of a table of settings; an error if it has more than most, as nothing may be left out."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a table of settings has more than {most} rows")
+    return rows
