@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import fixed_rows, stage
 from . import common as C
 
 #: Tokens of a block, least slots of an output shard, and most shards: larger mixes have larger shards, so the driver's draws stay bounded.
@@ -100,7 +100,7 @@ def budget(goals: list[tuple[str, float, int]], there: dict[str, int]) -> dict[s
 
 def mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, path: str | None = None) -> tuple[DataFrame, dict[str, int], list, dict[str, int]]:
     """Blocks, their number by source, goals (source, share, most repetitions, name as given), and slots by source."""
-    goals_rows = targets.select(C.canon_name(F.col("source")).alias("s"), F.col("source").alias("name"), F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)), F.coalesce(F.col("max_repeats").cast("int"), F.lit(1))).where("s is not null").limit(SOURCES).collect()
+    goals_rows = fixed_rows(targets.select(C.canon_name(F.col("source")).alias("s"), F.col("source").alias("name"), F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)), F.coalesce(F.col("max_repeats").cast("int"), F.lit(1))).where("s is not null"), SOURCES)
     goals = [(r[0], r[2], r[3]) for r in goals_rows]
     wanted = documents.where(C.canon_name(F.col("source")).isin([g[0] for g in goals]))
     made, totals = blocks(wanted, path or f"{TOKENIZERS}/{TOKENIZER}")

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import fixed_rows, shared_dir
 from . import common as C
 
 #: Share of all rows with a category that a sample has.
@@ -59,7 +59,7 @@ def repair(start: dict[tuple, int], there: dict[tuple, int], goals: dict[str, fl
 
 def _goals(targets: DataFrame) -> list[tuple[str, str, float, int]]:
     """(category, name as given, share, floor), at most CATEGORIES."""
-    rows = targets.select(C.canon_name(F.col("dataset")).alias("c"), F.col("dataset").alias("name"), F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)).alias("share"), F.coalesce(F.col("min_rows").cast("int"), F.lit(0)).alias("floor")).where("c is not null").limit(CATEGORIES).collect()
+    rows = fixed_rows(targets.select(C.canon_name(F.col("dataset")).alias("c"), F.col("dataset").alias("name"), F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)).alias("share"), F.coalesce(F.col("min_rows").cast("int"), F.lit(0)).alias("floor")).where("c is not null"), CATEGORIES)
     return [tuple(r) for r in rows]
 
 
@@ -69,9 +69,9 @@ def composition(rows: DataFrame, targets: DataFrame, rate: float = RATE, seed: s
     The signature of a row is its category and its split, so that a sample keeps the splits' proportions.
     """
     goals = _goals(targets)
-    marked = rows.select("sample_key", C.canon_name(F.col("dataset")).alias("c"), F.coalesce(C.canon_split(F.col("split")), F.lit("")).alias("s")).where("c is not null")
-    # spellings of a category are few after normalisation; only those with a target and the sum of all are kept
-    counts = marked.withColumn("c", F.when(F.col("c").isin([g[0] for g in goals]), F.col("c")).otherwise("")).groupBy("c", "s").agg(F.count(F.lit(1)).alias("n")).orderBy("c", "s").limit(10 * CATEGORIES).collect()
+    marked = rows.select("sample_key", C.canon_name(F.col("dataset")).alias("c"), F.when(C.canon_split(F.col("split")).isin("train", "val", "test"), C.canon_split(F.col("split"))).otherwise("").alias("s")).where("c is not null")
+    # four signatures for each target, and the sum of all else
+    counts = marked.withColumn("c", F.when(F.col("c").isin([g[0] for g in goals]), F.col("c")).otherwise("")).groupBy("c", "s").agg(F.count(F.lit(1)).alias("n")).orderBy("c", "s").collect()
     total = sum(r["n"] for r in counts)
     there = {(r["c"], r["s"]): r["n"] for r in counts if r["c"]}
     size = int(round(rate * total))
