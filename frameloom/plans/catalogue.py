@@ -322,6 +322,31 @@ def data_urls(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "documents").where("text is not null").select("doc_id", F.md5(X.to_data_url(name, F.encode("text", "UTF-8"))).alias("url"))
 
 
+def extract_list(spark: SparkSession, sf: str) -> DataFrame:
+    names = read_table(spark, sf, "template_records").where("source = 'sorec' and source_image is not null")
+    return names.select(F.concat(F.lit("Images\\"), X.path_name(F.col("source_image"))).alias("line")).distinct()
+
+
+def source_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "template_records").groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("source_image").alias("images"))
+
+
+def image_index(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "media_manifest").where("source_path is not null").groupBy(X.path_name(F.col("source_path")).alias("name")).agg(F.min("source_path").alias("path"))
+
+
+def indexed_images(spark: SparkSession, sf: str) -> DataFrame:
+    there = image_index(spark, sf)
+    rows = read_table(spark, sf, "template_records").where("source = 'sorec'").select("record_id", X.path_name(F.col("source_image")).alias("name"))
+    return rows.join(there, "name", "left").select("record_id", F.col("path").isNotNull().alias("found"))
+
+
+def resume_state(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "eval_records").select((F.col("eval_id") - 1).alias("index"))
+    done = docs.where("index < 1000")
+    return spark.createDataFrame([(infer.contiguous(done, docs.count()),)], "done long")
+
+
 def exact_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     nations = read_table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("ordinal"), "n_name")
     return sampling.exact_permutation(nations, "ordinal", 25, 42).select("ordinal", "n_name", "shuffled")
@@ -344,7 +369,7 @@ NAMES = (
     "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop template_ids natural_sort path_parts frame_names "
     "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report check_errors format_check format_measures format_summary "
     "extract_text extract_prediction positional_pair prompt_parts content_parts predicted_stub media_manifest media_totals missing_bytes bundle_metadata rewrite_refs "
-    "round_trip resolved_refs missing_refs greedy_match resume_missing demo_sample preview_html data_urls exact_shuffle stream_resume"
+    "round_trip resolved_refs missing_refs greedy_match resume_missing demo_sample preview_html data_urls extract_list source_counts image_index indexed_images resume_state exact_shuffle stream_resume"
 ).split()
 
 

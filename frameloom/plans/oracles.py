@@ -189,4 +189,10 @@ def oracle_sql() -> dict[str, str]:
         || '<h3>Request</h3><p>' || {said('user')} || '</p><h3>Target</h3><p>' || {said('assistant')} || '</p></article>' AS card FROM t)
       SELECT sample_key, length(card) AS length, md5(card) AS card FROM c"""
     q["data_urls"] = "SELECT doc_id, md5('data:' || CASE WHEN doc_id % 2 = 0 THEN 'image/jpeg' ELSE 'application/octet-stream' END || ';base64,' || to_base64(encode(text))) AS url FROM documents WHERE text IS NOT NULL"
+    q["extract_list"] = "SELECT DISTINCT 'Images\\' || regexp_extract(source_image, '([^/]*)$', 1) AS line FROM template_records WHERE source = 'sorec' AND source_image IS NOT NULL"
+    q["source_counts"] = "SELECT source, count(*) AS records, count(DISTINCT source_image) AS images FROM template_records GROUP BY source"
+    index = "SELECT regexp_extract(source_path, '([^/]*)$', 1) AS name, min(source_path) AS path FROM media_manifest WHERE source_path IS NOT NULL GROUP BY 1"
+    q["image_index"] = index
+    q["indexed_images"] = f"WITH i AS ({index}) SELECT record_id, i.path IS NOT NULL AS found FROM template_records t LEFT JOIN i ON i.name = regexp_extract(t.source_image, '([^/]*)$', 1) WHERE source = 'sorec'"
+    q["resume_state"] = "SELECT count(*) AS done FROM eval_records WHERE eval_id <= 1000"
     return q
