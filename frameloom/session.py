@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 #: Most rows that any side may have to be broadcast; with a few hundred bytes a row this stays far below the driver's memory.
 BROADCAST_ROWS = 50_000
 
+_shipped: set[str] = set()
 _staged: list[tuple[SparkSession, str]] = []
 
 
@@ -34,7 +36,27 @@ def local_session(app: str = "frameloom", cores: str = "8", partitions: int = 8)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a session, once, so that they need no path to it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="frameloom-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "frameloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    context.addPyFile(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

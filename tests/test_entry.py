@@ -52,3 +52,16 @@ def test_nothing_else_imports_that_part():
         if "llm" not in path.parts:
             assert not re.search(r"\bllm\b", path.read_text()), path
     assert "frameloom" in sys.modules
+
+
+def test_workers_need_no_path(data, tmp_path):
+    """Queries run from any folder, without PYTHONPATH: the package is sent to the Python workers."""
+    import os
+    import pathlib
+    import subprocess
+
+    repo = str(pathlib.Path(entry.__file__).parent)
+    code = f"import sys; sys.path.insert(0, {repo!r}); import __spark_entry__ as e; from frameloom.session import local_session; print('rows', e.queries()['predicted_stub'](local_session('x', '2', 2), {data!r}).count())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in said.stdout, said.stderr[-2000:]
