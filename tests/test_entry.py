@@ -65,3 +65,16 @@ def test_workers_need_no_path(data, tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in said.stdout, said.stderr[-2000:]
+
+
+@pytest.mark.parametrize("name", ["seeded_topk", "quota_by_source", "unique_first_topk", "round_robin_kept", "global_order", "media_manifest", "check_report", "window_variants"])
+def test_partitions_do_not_matter(spark, data, name):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = []
+        for n in ("1", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(rows_of_spark(catalogue.queries()[name](spark, data)))
+        assert got[0] == got[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
