@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sequences import let
+
 
 def parse_box(line: Column, strict: bool = True) -> Column:
     """struct(x, y, w, h) of a line of 4 numbers (a box) or 8 (a polygon, of which the box around it is taken).
@@ -12,18 +14,21 @@ def parse_box(line: Column, strict: bool = True) -> Column:
     Numbers are parted by commas, spaces or tabs. Lines of another length, and boxes that aren't finite or have no extent, are an error if
     strict, else null.
     """
+
+    def box(v: Column) -> Column:
+        xs, ys = F.filter(v, lambda _, i: i % 2 == 0), F.filter(v, lambda _, i: i % 2 == 1)
+        x, y = F.array_min(xs), F.array_min(ys)
+        four = F.struct(*[F.get(v, i).alias(k) for i, k in enumerate("xywh")])
+        eight = F.struct(x.alias("x"), y.alias("y"), (F.array_max(xs) - x).alias("w"), (F.array_max(ys) - y).alias("h"))
+        made = F.when(F.size(v) == 4, four).when(F.size(v) == 8, eight)
+        whole = F.forall(v, lambda p: p.isNotNull() & ~F.isnan(p) & (F.abs(p) < F.lit(float("inf"))))
+        return F.when(whole, let(made, lambda m: F.when((m["w"] > 0) & (m["h"] > 0), m)))
+
     parts = F.filter(F.split(F.trim(line), r"[,\s]+"), lambda p: p != "")
-    v = F.transform(parts, lambda p: p.try_cast("double"))
-    xs, ys = F.filter(v, lambda _, i: i % 2 == 0), F.filter(v, lambda _, i: i % 2 == 1)
-    x, y = F.array_min(xs), F.array_min(ys)
-    box = F.when(F.size(v) == 4, F.struct(F.get(v, 0).alias("x"), F.get(v, 1).alias("y"), F.get(v, 2).alias("w"), F.get(v, 3).alias("h"))).when(
-        F.size(v) == 8, F.struct(x.alias("x"), y.alias("y"), (F.array_max(xs) - x).alias("w"), (F.array_max(ys) - y).alias("h"))
-    )
-    whole = F.forall(v, lambda p: p.isNotNull() & ~F.isnan(p) & (F.abs(p) < F.lit(float("inf"))))
-    good = whole & (box["w"] > 0) & (box["h"] > 0)
+    found = let(F.transform(parts, lambda p: p.try_cast("double")), box)
     if not strict:
-        return F.when(F.coalesce(good, F.lit(False)), box)
-    return F.when(line.isNull(), box).when(F.coalesce(good, F.lit(False)), box).otherwise(F.raise_error(F.concat(F.lit("no box: "), line)))
+        return found
+    return F.coalesce(found, F.when(line.isNotNull(), F.raise_error(F.concat(F.lit("no box: "), line)).cast("struct<x:double,y:double,w:double,h:double>")))
 
 
 def crop_side(width: Column, height: Column, w: Column, h: Column, scale: float) -> Column:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body uses it, also inside the functions it passes to arrays."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
+
+
 def even_positions(n: Column, count: int) -> Column:
     """Positions of count items spread evenly over n, both ends included, rounded half to even; all positions if n is not larger."""
     every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import placeholder_tokens, strip
+from ..functions import let, placeholder_tokens, strip
 from .quality import message_first, message_last
 
 PART = "struct<type:string,text:string,image_url:struct<url:string>,video:array<string>>"
@@ -22,20 +22,23 @@ def content_parts(prompt: Column, images: Column, videos: Column, url: Callable[
     The n-th placeholder of a kind takes the n-th medium. Media that don't match the placeholders in number are an error.
     """
     pictures, clips = F.coalesce(images, F.array().cast("array<string>")), F.coalesce(videos, F.array().cast("array<array<string>>"))
-    tokens = placeholder_tokens(F.coalesce(prompt, F.lit("")))
-    before = lambda i, kind: F.size(F.filter(F.slice(tokens, F.lit(1), i + 1), lambda t: t == kind)) - 1
-
-    def part(t: Column, i: Column) -> Column:
-        text = F.when(~t.isin("<image>", "<video>"), strip(t))
-        image = F.when(t == "<image>", F.struct(url(F.get(pictures, before(i, "<image>"))).alias("url")))
-        video = F.when(t == "<video>", F.transform(F.get(clips, before(i, "<video>")), url))
-        kind = F.when(t == "<image>", "image_url").when(t == "<video>", "video").otherwise("text")
-        return F.struct(kind.alias("type"), text.alias("text"), image.alias("image_url"), video.alias("video"))
-
-    made = F.filter(F.transform(tokens, part), lambda p: (p["type"] != "text") | (p["text"] != ""))
-    number = lambda kind: F.size(F.filter(tokens, lambda t: t == kind))
-    match = (number("<image>") == F.size(pictures)) & (number("<video>") == F.size(clips))
-    return F.when(match, made).otherwise(F.raise_error(F.lit("media don't match the placeholders in number")))
+
+    def parts(tokens: Column) -> Column:
+        before = lambda i, kind: F.size(F.filter(F.slice(tokens, F.lit(1), i + 1), lambda t: t == kind)) - 1
+        number = lambda kind: F.size(F.filter(tokens, lambda t: t == kind))
+
+        def part(t: Column, i: Column) -> Column:
+            text = F.when(~t.isin("<image>", "<video>"), strip(t))
+            image = F.when(t == "<image>", F.struct(url(F.get(pictures, before(i, "<image>"))).alias("url")))
+            video = F.when(t == "<video>", F.transform(F.get(clips, before(i, "<video>")), lambda p: url(p)))
+            kind = F.when(t == "<image>", "image_url").when(t == "<video>", "video").otherwise("text")
+            return F.struct(kind.alias("type"), text.alias("text"), image.alias("image_url"), video.alias("video"))
+
+        made = F.filter(F.transform(tokens, part), lambda p: (p["type"] != "text") | (p["text"] != ""))
+        match = (number("<image>") == F.size(pictures)) & (number("<video>") == F.size(clips))
+        return F.when(match, made).otherwise(F.raise_error(F.lit("media don't match the placeholders in number")))
+
+    return let(placeholder_tokens(F.coalesce(prompt, F.lit(""))), parts)
 
 
 def request_messages(messages: Column, images: Column, videos: Column, url: Callable[[Column], Column] = lambda p: p) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import count_of, format_reasons, strip
+from ..functions import count_of, format_reasons, let, strip
 from .sampling import top_by_group
 
 #: Keys of a prediction row that may hold its text, in the order they are tried.
@@ -150,17 +150,23 @@ def summary(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def greedy_match(candidate: Column, reference: Column) -> Column:
     """struct(p, r, f1) of two arrays of token vectors: the mean best cosine of each side's tokens, and their harmonic mean; null without tokens."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
     def unit(v: Column) -> Column:
-        norm = F.sqrt(dot(v, v))
-        return F.transform(v, lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(1.0))
+        wide = F.transform(v, lambda x: x.cast("double"))
+        return let(wide, lambda w: let(F.sqrt(dot(w, w)), lambda n: F.transform(w, lambda x: x / F.when(n > 0, n).otherwise(1.0))))
 
-    c, r = F.transform(candidate, unit), F.transform(reference, unit)
     mean = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(xs), F.lit(0))
-    best = lambda xs, ys: mean(F.transform(xs, lambda x: F.array_max(F.transform(ys, lambda y: dot(x, y)))))
-    p, q = best(c, r), best(r, c)
-    return F.struct(p.alias("p"), q.alias("r"), F.when(p + q > 0, 2 * p * q / (p + q)).otherwise(F.when((p + q).isNotNull(), 0.0)).alias("f1"))
+
+    def scores(table: Column) -> Column:
+        # rows are the candidate's tokens, columns the reference's
+        wide = F.size(F.get(table, 0))
+        p = mean(F.transform(table, lambda row: F.array_max(row)))
+        r = F.when(wide > 0, mean(F.transform(F.sequence(F.lit(0), wide - 1), lambda j: F.array_max(F.transform(table, lambda row: F.get(row, j))))))
+        return let(F.struct(p.alias("p"), r.alias("r")), lambda s: F.struct(s["p"].alias("p"), s["r"].alias("r"), F.when(s["p"] + s["r"] > 0, 2 * s["p"] * s["r"] / (s["p"] + s["r"])).when((s["p"] + s["r"]).isNotNull(), 0.0).alias("f1")))
+
+    table = let(F.transform(reference, unit), lambda ref: F.transform(candidate, lambda c: let(unit(c), lambda u: F.transform(ref, lambda y: dot(u, y)))))
+    return let(table, scores)
 
 
 def scored(pairs: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
