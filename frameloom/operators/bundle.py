@@ -125,9 +125,11 @@ def metadata(entries: DataFrame, rows: DataFrame, source_root: str, source_data:
 
     rows: (file) one row for each row of any file.
     """
+    media = media_totals(entries).first()
     files = rows.agg(F.count_distinct("file").alias("jsonl_files"), F.count(F.lit(1)).alias("rows_across_files"))
     fixed = {"format": "relocatable-bundle-1", "source_root": source_root, "source_data": source_data, "canonical_data_directory": "data", "runtime_data_directory": "runtime_data"}
-    return files.crossJoin(media_totals(entries).drop("gib")).select(*[F.lit(v).alias(k) for k, v in fixed.items()], "jsonl_files", "rows_across_files", "unique_media_files", "media_bytes")  # one row each
+    totals = [F.lit(media[k]).cast("long").alias(k) for k in ("unique_media_files", "media_bytes")]
+    return files.select(*[F.lit(v).alias(k) for k, v in fixed.items()], "jsonl_files", "rows_across_files", *totals)
 
 
 def file_digest(path: str) -> str:
