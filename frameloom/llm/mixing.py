@@ -177,7 +177,7 @@ def _permute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def report(spark: SparkSession, documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
     """(source, target_share, reached_share, tokens, slots, max_repeats): shares of the mix in tokens, by target."""
     goals = targets.select("source", F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)).alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats")).where(C.canon_name(F.col("source")).isNotNull())
-    rows = mixture(spark, documents, targets, path).groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("slots"))
-    whole = rows.agg(F.sum("tokens").alias("whole"))
-    met = goals.join(rows, "source", "left").crossJoin(F.broadcast(whole))  # one row
-    return met.select("source", "target_share", (F.coalesce("tokens", F.lit(0)) / F.greatest("whole", F.lit(1))).alias("reached_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("slots", F.lit(0)).alias("slots"), "max_repeats")
+    rows = stage(mixture(spark, documents, targets, path).groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("slots")))  # a row a source
+    whole = rows.agg(F.sum("tokens")).first()[0] or 1
+    tokens = F.coalesce("tokens", F.lit(0))
+    return goals.join(rows, "source", "left").select("source", "target_share", (tokens / whole).alias("reached_share"), tokens.alias("tokens"), F.coalesce("slots", F.lit(0)).alias("slots"), "max_repeats")
