@@ -136,16 +136,27 @@ def unreachable(spark: SparkSession, rows: DataFrame, targets: DataFrame, rate:
 class Registry:
     """Permanent random numbers: each identifier has a uniform value, written when it is first seen and never changed.
 
-    The table lies in a folder that all executors share, one part for each insert, so an insert only appends.
+    The table lies in a folder that all executors share, one part for each insert, so an insert only appends. What earlier runs committed there
+    counts: their identifiers keep their values, whatever the seed now, and the threshold never falls below theirs. One run at a time may insert.
     """
 
     SCHEMA = "id string, u double"
+    THRESHOLDS = "threshold double"
 
     def __init__(self, spark: SparkSession, path: str, seed: str = "stable-1"):
-        self.spark, self.path, self.seed, self.parts = spark, path, seed, 0
+        self.spark, self.path, self.seed = spark, path, seed
+        there = self._names(path)
+        self.parts = sorted(int(n[5:]) for n in there if n[:5] == "part=" and n[5:].isdigit() and "_SUCCESS" in self._names(f"{path}/{n}"))
+        stored = spark.read.schema(self.THRESHOLDS).parquet(f"{path}/thresholds").agg(F.max("threshold")).first()[0] if "thresholds" in there else None
+        self.threshold = stored or 0.0
+
+    def _names(self, path: str) -> list[str]:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in files.listStatus(p)] if files.exists(p) else []
 
     def table(self) -> DataFrame:
-        parts = [f"{self.path}/part={i}" for i in range(self.parts)]
+        parts = [f"{self.path}/part={i}" for i in self.parts]
         return self.spark.read.schema(self.SCHEMA).parquet(*parts) if parts else self.spark.createDataFrame([], self.SCHEMA)
 
     def insert(self, identifiers: DataFrame) -> None:
@@ -153,28 +164,38 @@ class Registry:
         new = identifiers.select("id").where("id is not null").distinct()
         if self.parts:
             new = new.join(self.table(), "id", "left_anti")
-        new.select("id", uniform(self.seed, F.col("id")).alias("u")).write.mode("overwrite").parquet(f"{self.path}/part={self.parts}")
-        self.parts += 1
+        k = self.parts[-1] + 1 if self.parts else 0
+        # the mark shows that a part is complete; one without it is what a failed run left, and is replaced
+        new.select("id", uniform(self.seed, F.col("id")).alias("u")).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/part={k}")
+        self.parts.append(k)
+
+    def admit(self, rate: float) -> float:
+        """The threshold, raised to rate and stored if that is larger."""
+        if rate > self.threshold:
+            self.spark.createDataFrame([(float(rate),)], self.THRESHOLDS).coalesce(1).write.mode("append").parquet(f"{self.path}/thresholds")
+            self.threshold = float(rate)
+        return self.threshold
 
 
-def stable(spark: SparkSession, rows: DataFrame, rates: tuple[float, ...] = (0.1, 0.1), path: str | None = None) -> DataFrame:
+def stable(spark: SparkSession, rows: DataFrame, rates: tuple[float, ...] = (0.1, 0.1), path: str | None = None, seed: str = "stable-1") -> DataFrame:
     """(sample_key, sample_id, batch_no, u): rows of built_samples whose sample_id is selected.
 
     Batches come in as many portions as rates has, in the order of batch_no; with each the registry gets the identifiers that are new. The threshold is
-    the largest rate so far, so it never falls, and what was selected stays selected. Identifiers are compared without case, separators,
+    the largest rate so far, in this and all earlier runs on the same path, so it never falls, and what was selected stays selected. Identifiers are compared without case, separators,
     padding and surrounding spaces, so all deliveries of one share its fate; rows without identifier aren't selected, rows without batch
-    come with the first portion. path: an existing or new folder for the registry; by default one in the shared folder.
+    come with the first portion. path: an existing or new folder for the registry; by default a new one in the shared folder, which knows no
+    earlier run. seed: of the values of new identifiers.
     """
     base = rows.select("sample_key", "sample_id", F.coalesce("batch_no", F.lit(-1)).alias("batch_no"), C.canon_name(F.col("sample_id")).alias("id")).where("id is not null")
     ends = base.agg(F.min("batch_no"), F.max("batch_no")).first()
-    registry = Registry(spark, path or f"{shared_dir(spark)}/frameloom-registry-{uuid.uuid4().hex}")
-    threshold, k = 0.0, len(rates)
+    registry = Registry(spark, path or f"{shared_dir(spark)}/frameloom-registry-{uuid.uuid4().hex}", seed)
+    k = len(rates)
     if ends[0] is None:
         return base.withColumn("u", F.lit(None).cast("double")).select("sample_key", "sample_id", "batch_no", "u")
     step = (ends[1] - ends[0] + 1) / k
     for i, rate in enumerate(rates):
         low, high = ends[0] + step * i, ends[0] + step * (i + 1)
         registry.insert(base.where((F.col("batch_no") >= low) & (F.col("batch_no") < (high if i + 1 < k else ends[1] + 1))))
-        threshold = max(threshold, rate)
-    chosen = registry.table().where(F.col("u") < threshold)
+        registry.admit(rate)
+    chosen = registry.table().where(F.col("u") < registry.threshold)
     return C.lookup(base, chosen, "id", C.hot_keys(base, "id")).select("sample_key", "sample_id", F.col("batch_no").cast("int").alias("batch_no"), "u")

@@ -65,6 +65,29 @@ def test_registry_keeps_values(spark, tmp_path):
     assert set(now) == {"a", "b", "c"} and all(now[k] == u for k, u in first.items())
 
 
+def test_registry_is_taken_up_again(spark, tmp_path):
+    path = str(tmp_path / "r")
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    sampling.Registry(spark, path).insert(ids("a", "b"))
+    first = {r.id: r.u for r in sampling.Registry(spark, path).table().collect()}
+    (tmp_path / "r" / "part=1").mkdir()  # left by a run that failed
+    second = sampling.Registry(spark, path, "another")
+    second.insert(ids("b", "c"))
+    rows = sampling.Registry(spark, path).table().collect()
+    assert sorted(r.id for r in rows) == ["a", "b", "c"] and first.items() <= {r.id: r.u for r in rows}.items()
+    assert second.admit(0.3) == 0.3 == sampling.Registry(spark, path).admit(0.2)
+
+
+def test_stable_over_runs(spark, tmp_path):
+    path = str(tmp_path / "r")
+    made = lambda n: spark.createDataFrame([(i, "d", None, f"id_{i}", i // 100, None, None, None) for i in range(n)], BUILT)
+    chosen = lambda df: {r.sample_key: r.u for r in df.collect()}
+    early = chosen(sampling.stable(spark, made(600), (0.1, 0.3), path))
+    late = chosen(sampling.stable(spark, made(900), (0.05,), path, "another"))
+    assert early and {k: u for k, u in late.items() if k < 600} == early  # with a lower rate and another seed
+    assert 0.2 < sum(k >= 600 for k in late) / 300 < 0.4
+
+
 def test_real_rows(spark, data):
     built, targets = read_table(spark, data, "built_samples"), read_table(spark, data, "sample_targets")
     assert sampling.sample(spark, built, targets).count() == sum(r.sampled for r in sampling.report(spark, built, targets).collect())
