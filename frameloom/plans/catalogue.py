@@ -193,10 +193,19 @@ def check_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("file", "rows", "image_rows", "video_rows", "error_rows", F.size("errors").alias("listed"))
 
 
-def check_errors(spark: SparkSession, sf: str) -> DataFrame:
+def _faulty(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
     files = read_table(spark, sf, "media_manifest").select(F.col("source_path").alias("path")).where("path is not null")
-    rows = parsed_samples(spark, sf).where(F.lower(F.trim("dataset")) == "d3").select("sample_key", "messages", "images", "videos")
-    return quality.checked(rows, "sample_key", files).where(F.size("errors") > 0).select("sample_key", F.size("errors").alias("errors"))
+    return quality.checked(rows.select("sample_key", "messages", "images", "videos"), "sample_key", files).where(F.size("errors") > 0).select("sample_key", F.size("errors").alias("errors"))
+
+
+def check_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The part of check_errors_whole whose dataset is spelled d3, as its SQL has it."""
+    return _faulty(spark, sf, parsed_samples(spark, sf).where(F.lower(F.trim("dataset")) == "d3"))
+
+
+def check_errors_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """(sample_key, errors): the faulty samples of all datasets, however spelled or missing. Media that the manifest doesn't list are missing."""
+    return _faulty(spark, sf, parsed_samples(spark, sf))
 
 
 def format_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +376,7 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
 NAMES = (
     "hash_split hash_fractions group_split_leakage distinct_pairs annotation_join seeded_topk quota_by_source limit_then_filter filter_after_rank unique_first_topk "
     "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop template_ids natural_sort path_parts frame_names "
-    "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report check_errors format_check format_measures format_summary "
+    "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report check_errors check_errors_whole format_check format_measures format_summary "
     "extract_text extract_prediction positional_pair prompt_parts content_parts predicted_stub media_manifest media_totals missing_bytes bundle_metadata rewrite_refs "
     "round_trip resolved_refs missing_refs greedy_match resume_missing demo_sample preview_html data_urls extract_list source_counts image_index indexed_images resume_state exact_shuffle stream_resume"
 ).split()
