@@ -31,11 +31,11 @@ def parse_box(line: Column, strict: bool = True) -> Column:
     return F.coalesce(found, F.when(line.isNotNull(), F.raise_error(F.concat(F.lit("no box: "), line)).cast("struct<x:double,y:double,w:double,h:double>")))
 
 
-def crop_side(width: Column, height: Column, w: Column, h: Column, scale: float) -> Column:
-    return F.greatest(F.lit(2.0), F.least(F.greatest(w, h) * F.lit(float(scale)), width.cast("double"), height.cast("double")))
+def crop_side(width: Column, height: Column, w: Column, h: Column, scale: float | Column) -> Column:
+    return F.greatest(F.lit(2.0), F.least(F.greatest(w, h) * F.lit(scale).cast("double"), width.cast("double"), height.cast("double")))
 
 
-def square_crop(width: Column, height: Column, x: Column, y: Column, w: Column, h: Column, scale: float = 2.0) -> Column:
+def square_crop(width: Column, height: Column, x: Column, y: Column, w: Column, h: Column, scale: float | Column = 2.0) -> Column:
     """struct(left, top, right, bottom) in whole pixels: a square around the box, scale times its larger side, moved into the image.
 
     The square is at least 2 pixels and at most as large as the image's smaller side; corners are rounded outwards and kept inside.

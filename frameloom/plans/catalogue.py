@@ -124,9 +124,19 @@ def bbox_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def square_crop(spark: SparkSession, sf: str) -> DataFrame:
-    there = read_table(spark, sf, "template_records").where("bbox_xywh is not null and original_size is not null and size(bbox_xywh) = 4 and context_scale = 3.0")
+    """The part of square_crop_whole whose scale is 3, as its SQL has it."""
+    return _crops(read_table(spark, sf, "template_records").where("context_scale = 3.0"))
+
+
+def square_crop_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The crops of all records that have a box, a size and a scale, each by its own scale."""
+    return _crops(read_table(spark, sf, "template_records").where("context_scale is not null"))
+
+
+def _crops(records: DataFrame) -> DataFrame:
+    there = records.where("bbox_xywh is not null and original_size is not null and size(bbox_xywh) = 4")
     b = [F.get("bbox_xywh", i) for i in range(4)]
-    c = X.square_crop(F.get("original_size", 0), F.get("original_size", 1), *b, 3.0)
+    c = X.square_crop(F.get("original_size", 0), F.get("original_size", 1), *b, F.col("context_scale"))
     return there.select("record_id", c["left"].alias("crop_left"), c["top"].alias("crop_top"), c["right"].alias("crop_right"), c["bottom"].alias("crop_bottom"))
 
 
@@ -375,7 +385,7 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
 
 NAMES = (
     "hash_split hash_fractions group_split_leakage distinct_pairs annotation_join seeded_topk quota_by_source limit_then_filter filter_after_rank unique_first_topk "
-    "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop template_ids natural_sort path_parts frame_names "
+    "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop square_crop_whole template_ids natural_sort path_parts frame_names "
     "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report check_errors check_errors_whole format_check format_measures format_summary "
     "extract_text extract_prediction positional_pair prompt_parts content_parts predicted_stub media_manifest media_totals missing_bytes bundle_metadata rewrite_refs "
     "round_trip resolved_refs missing_refs greedy_match resume_missing demo_sample preview_html data_urls extract_list source_counts image_index indexed_images resume_state exact_shuffle stream_resume"

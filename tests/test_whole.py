@@ -1,6 +1,7 @@
 """Queries over whole tables, compared with plain Python."""
 
 import json
+import math
 
 from frameloom.plans import catalogue
 from frameloom.session import read_table
@@ -30,3 +31,17 @@ def test_check_errors_whole(spark, data):
     assert got == expected and len(datasets) > 1
     part = {r.sample_key: r.errors for r in catalogue.check_errors(spark, data).collect()}
     assert part.items() < got.items()
+
+
+def test_square_crop_whole(spark, data):
+    expected, scales = {}, set()
+    for r in rows_of(spark, data, "template_records", "record_id", "bbox_xywh", "original_size", "context_scale"):
+        if r.bbox_xywh is None or len(r.bbox_xywh) != 4 or r.original_size is None or r.context_scale is None:
+            continue
+        (x, y, w, h), (iw, ih) = r.bbox_xywh, r.original_size
+        side = max(2, min(max(w, h) * r.context_scale, iw, ih))
+        left, top = (min(max(c - side / 2, 0), n - side) for c, n in ((x + w / 2, iw), (y + h / 2, ih)))
+        expected[r.record_id] = (max(0, math.floor(left)), max(0, math.floor(top)), min(iw, math.ceil(left + side)), min(ih, math.ceil(top + side)))
+        scales.add(r.context_scale)
+    got = {r.record_id: (r.crop_left, r.crop_top, r.crop_right, r.crop_bottom) for r in catalogue.square_crop_whole(spark, data).collect()}
+    assert got == expected and scales == {2.0, 3.0}
