@@ -133,7 +133,7 @@ def _infer(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.client:
         module, name = a.client.split(":")
         client = getattr(importlib.import_module(module), name)
-    rows = json.numbered_lines(spark, a.dataset, schemas.ROW).where("error is null").withColumn("ordinal", (F.col("line") - 1).cast("long"))
+    rows = json.readable(json.numbered_lines(spark, a.dataset, schemas.ROW)).withColumn("ordinal", (F.col("line") - 1).cast("long"))
     rows = infer.head_rows(rows, "ordinal", a.max_samples)
     if not a.resume:
         shutil.rmtree(a.output, ignore_errors=True)

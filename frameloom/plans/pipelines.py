@@ -215,10 +215,11 @@ def read_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, source_root: str, data: str, output: str, mode: str = "copy", checksum: bool = False, repair: bool = False, dry_run: bool = False) -> dict:
-    """Packs the rows below data and their media into a bundle; what was packed, as a dictionary. dry_run: nothing is written."""
-    rows = read_rows(spark, data).where("error is null").withColumn("id", F.concat_ws("#", "file", F.col("line").cast("string")))
-    if rows.isEmpty():
+    """Packs the rows below data and their media into a bundle; what was packed, as a dictionary. A line that can't be read is an error. dry_run: nothing is written."""
+    read = read_rows(spark, data)
+    if read.where("error is null").isEmpty():
         raise FileNotFoundError(f"no rows below {data}")
+    rows = json.readable(read).withColumn("id", F.concat_ws("#", "file", F.col("line").cast("string")))
     found = files.listing(spark, source_root)
     refs = bundle.references(rows, "id")
     sources = bundle.resolved(refs.select("path").distinct(), found, [F.lit(data), F.lit(source_root)])

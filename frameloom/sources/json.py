@@ -50,8 +50,15 @@ def numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     Lines are numbered inside each file, which is read whole by one task; that suits many files of moderate size.
     """
     text = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(plain_path(F.col("_metadata.file_path")).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
-    there = text.where(F.trim("text") != "").select("file", (F.col("i") + 1).alias("line"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
-    return there.select("file", "line", F.when(F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
+    there = text.where(F.col("text").rlike(r"(?U)\S")).select("file", (F.col("i") + 1).alias("line"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
+    return there.select("file", "line", F.when(F.col("row").isNull() | F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
+
+
+def readable(rows: DataFrame) -> DataFrame:
+    """The rows of numbered_lines without their column error; a row that has one is an error with its file and line."""
+    if bad := rows.where("error is not null").orderBy("file", "line").select("file", "line", "error").first():
+        raise ValueError(f"{bad['error']}: {bad['file']}:{bad['line']}")
+    return rows.drop("error")
 
 
 def described_objects(doc: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

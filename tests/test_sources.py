@@ -111,6 +111,16 @@ def test_pack_resolve_check(spark, tmp_path):
         pipelines.pack(spark, src, str(tmp_path / "src/cv"), out)
 
 
+@pytest.mark.parametrize("bad", ["{", "[1]", "5", "null"])
+def test_unreadable_lines_are_errors(spark, tmp_path, bad):
+    src = bundle_rows(tmp_path)
+    (tmp_path / "src/data/more.jsonl").write_text(f'\n \t\n{{"messages": []}}\n{bad}\n')
+    with pytest.raises(ValueError, match="more.jsonl:4"):
+        pipelines.pack(spark, src, f"{src}/data", str(tmp_path / "bundle"))
+    with pytest.raises(ValueError, match="more.jsonl:4"):
+        cli.main(["infer", "--dataset", f"{src}/data/more.jsonl", "--output", str(tmp_path / "pred")])
+
+
 def test_evaluate_and_infer(spark, tmp_path):
     rows = [{"messages": [{"role": "user", "content": f"say {i}"}, {"role": "assistant", "content": f"word {i}"}]} for i in range(3)]
     put(tmp_path / "val.jsonl", "\n".join(map(json.dumps, rows)) + "\n")
