@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import shutil
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,59 @@ def references(df: DataFrame, key: str) -> DataFrame:
     return made.where("path is not null")
 
 
+def _moved(value, move: Callable[[str], str]):
+    if value is None:
+        return None
+    if isinstance(value, str):
+        return move(value)
+    if isinstance(value, list):
+        return [_moved(v, move) for v in value]
+    raise TypeError(f"not a media value: {type(value).__name__}")
+
+
+def moved_line(text: str, move: Callable[[str], str], place: str = "") -> str:
+    """A JSON object with move(path) for each path in its media fields, however nested; all other keys and values stay."""
+    try:
+        row = json.loads(text)
+        for name in MEDIA_FIELDS:
+            if name in row:
+                row[name] = _moved(row[name], move)
+    except (TypeError, ValueError) as e:
+        raise ValueError(f"{e}: {place}") from e
+    made = json.dumps(row, ensure_ascii=False)
+    try:
+        made.encode()
+    except UnicodeEncodeError:  # half of a surrogate pair, which only an escape can hold
+        return json.dumps(row)
+    return made
+
+
+def line_references(df: DataFrame, key: str, line: str) -> DataFrame:
+    """(key, path): each media reference of each JSON object in the column line, in all media fields."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for k, text in zip(pdf[key], pdf[line], strict=True):
+                moved_line(text, lambda p, k=k: found.append((k, p)) or p, str(k))
+            yield pd.DataFrame(found, columns=[key, "path"])
+
+    return df.select(key, line).mapInPandas(run, f"{key} {dict(df.dtypes)[key]}, path string")
+
+
+def lines_moved(df: DataFrame, line: str, moves: str | None = None, root: str | None = None) -> DataFrame:
+    """df with the media paths in its JSON objects replaced: as moves (a JSON object by path) says, or, with root, put below it if they are relative."""
+    base = (root or "").rstrip("/") + "/"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            tables = [json.loads(m or "{}") for m in pdf[moves]] if moves else [None] * len(pdf)
+            made = [moved_line(t, table.__getitem__ if moves else lambda p: p if p.startswith("/") else base + p) for t, table in zip(pdf[line], tables, strict=True)]
+            yield pdf.assign(**{line: pd.Series(made, index=pdf.index, dtype=object)})
+
+    return df.mapInPandas(run, df.schema)
+
+
 def resolved(paths: DataFrame, files: DataFrame, folders: list[Column], path: str = "path") -> DataFrame:
     """paths with source: the first file that exists among the path itself (if absolute) and the path below each folder, in order; null if none.
 

@@ -210,8 +210,8 @@ def _records(df: DataFrame, sample_id: Column, source: str, sequence: Column, in
 
 
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, line, error, messages, images, videos) of all JSON-lines files below a folder."""
-    return json.numbered_lines(spark, folder, schemas.ROW)
+    """(file, line, raw, error, messages) of all JSON-lines files below a folder; raw is the line itself, with all keys."""
+    return json.numbered_lines(spark, folder, "messages string", raw=True)
 
 
 def pack(spark: SparkSession, source_root: str, data: str, output: str, mode: str = "copy", checksum: bool = False, repair: bool = False, dry_run: bool = False) -> dict:
@@ -221,7 +221,7 @@ def pack(spark: SparkSession, source_root: str, data: str, output: str, mode: st
         raise FileNotFoundError(f"no rows below {data}")
     rows = json.readable(read).withColumn("id", F.concat_ws("#", "file", F.col("line").cast("string")))
     found = files.listing(spark, source_root)
-    refs = bundle.references(rows, "id")
+    refs = bundle.line_references(rows, "id", "raw")
     sources = bundle.resolved(refs.select("path").distinct(), found, [F.lit(data), F.lit(source_root)])
     if lost := sources.where("source is null").count():
         raise FileNotFoundError(f"{lost} media files are missing")
@@ -237,9 +237,9 @@ def pack(spark: SparkSession, source_root: str, data: str, output: str, mode: st
     placed = bundle.publish(entries, output, mode, checksum, repair)
     placed.orderBy("bundle_path").select("source_path", "bundle_path", "size_bytes", "reference_count", "sha256").coalesce(1).write.mode("overwrite").json(f"{output}/manifest")
     table = small(sources.select("path", bundle.bundle_path(F.col("source")).alias("bundle_path")))
-    moved = bundle.restored(rows, "id", table.select(F.col("path").alias("bundle_path"), F.col("bundle_path").alias("source_path")))
+    moves = refs.distinct().join(table, "path").groupBy("id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("path", "bundle_path")))).alias("moves"))  # of one row
     name = F.regexp_replace(X.relative_path(F.col("file"), data), r"\.jsonl$", "")
-    packed = moved.select(name.alias("name"), "line", F.to_json(F.struct("messages", "images", "videos")).alias("value"))
+    packed = bundle.lines_moved(rows.join(moves, "id", "left").select(name.alias("name"), "line", F.col("raw").alias("value"), "moves"), "value", "moves")
     packed.repartition("name").sortWithinPartitions("name", "line").select("name", "value").write.mode("overwrite").partitionBy("name").text(f"{output}/data")
     sinks.write_object(about, f"{output}/bundle.json")
     sinks.write_bundle_readme(f"{output}/README.md")
@@ -253,13 +253,13 @@ def _bundle_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def resolve(spark: SparkSession, root: str, data: str = "data", output: str = "runtime_data", check_only: bool = False) -> dict[str, int]:
     """Rows of a bundle with absolute paths on this host; rows by file. A missing media file is an error."""
-    rows = bundle.unpacked(_bundle_rows(spark, f"{root}/{data}"), root).withColumn("id", F.monotonically_increasing_id())
-    lost = bundle.unresolved(rows, "id", files.listing(spark, f"{root}/media")).count()
+    rows = bundle.lines_moved(spark.read.text(f"{root}/{data}").select(F.col("name").cast("string").alias("name"), "value"), "value", root=root)
+    lost = bundle.line_references(rows, "name", "value").join(files.listing(spark, f"{root}/media").select("path").distinct(), "path", "left_anti").count()
     if lost:
         raise FileNotFoundError(f"{lost} references to media are broken")
     if not check_only:
-        rows.select(F.col("file").alias("name"), F.to_json(F.struct("messages", "images", "videos")).alias("value")).write.mode("overwrite").partitionBy("name").text(f"{root}/{output}")
-    return {r["file"]: r["n"] for r in rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).orderBy("file").limit(10_000).collect()}
+        rows.write.mode("overwrite").partitionBy("name").text(f"{root}/{output}")
+    return {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy("name").limit(10_000).collect()}
 
 
 def check(spark: SparkSession, root: str, data: str = "runtime_data", verify_images: bool = False, max_errors: int = 20) -> DataFrame:

@@ -44,14 +44,15 @@ def lines(spark: SparkSession, path: str | list[str], schema: str, strict: bool
     return df.withColumn(first, F.coalesce(checked.cast(df.schema[first].dataType), F.col(first))).drop(corrupt)
 
 
-def numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, schema: str, raw: bool = False) -> DataFrame:
     """(file, line, error, row columns): JSON lines with their numbers from 1, blank lines counted but left out; unreadable ones have an error.
+    raw: the line itself (column raw) comes too.
 
     Lines are numbered inside each file, which is read whole by one task; that suits many files of moderate size.
     """
     text = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(plain_path(F.col("_metadata.file_path")).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
-    there = text.where(F.col("text").rlike(r"(?U)\S")).select("file", (F.col("i") + 1).alias("line"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
-    return there.select("file", "line", F.when(F.col("row").isNull() | F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
+    there = text.where(F.col("text").rlike(r"(?U)\S")).select("file", (F.col("i") + 1).alias("line"), F.col("text").alias("raw"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
+    return there.select("file", "line", *["raw"] * raw, F.when(F.col("row").isNull() | F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
 
 
 def readable(rows: DataFrame) -> DataFrame:

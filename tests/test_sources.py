@@ -111,6 +111,24 @@ def test_pack_resolve_check(spark, tmp_path):
         pipelines.pack(spark, src, str(tmp_path / "src/cv"), out)
 
 
+def test_pack_keeps_all_keys_and_media(spark, tmp_path):
+    src, out = bundle_rows(tmp_path), str(tmp_path / "bundle")
+    for name in ("c.wav", "d.png", "e.png", "f.wav", "g.png"):
+        put(tmp_path / f"src/cv/{name}", name.encode())
+    media = {"images": ["cv/a.png"], "videos": [["cv/g.png"], "cv/b.png"], "audios": ["cv/c.wav"], "rejected_images": ["cv/d.png"], "rejected_videos": [["cv/e.png", "cv/d.png"]], "rejected_audios": "cv/f.wav"}
+    rest = {"messages": [{"role": "user", "content": "é<image>", "loss": True}], "objects": {"bbox": [[1.0, 2]], "x": None}, "big": 12345678901234567890, "label": None}
+    put(tmp_path / "src/data/more.jsonl", json.dumps(rest | media) + "\n")
+    assert pipelines.pack(spark, src, f"{src}/data", out)["unique_media_files"] == 7
+    assert pipelines.resolve(spark, out)["more"] == 1
+    value = spark.read.text(f"{out}/runtime_data").where("name = 'more'").first()["value"]
+    back = json.loads(value)
+    assert {k: v for k, v in back.items() if k not in media} == rest and set(back) == set(rest) | set(media)
+    flat = lambda v: [v] if isinstance(v, str) else [x for i in v for x in flat(i)]
+    for name, value in media.items():
+        assert [open(p, "rb").read() for p in flat(back[name])] == [open(f"{src}/{p}", "rb").read() for p in flat(value)]
+    assert isinstance(back["rejected_audios"], str) and [len(v) for v in back["rejected_videos"]] == [2]
+
+
 @pytest.mark.parametrize("bad", ["{", "[1]", "5", "null"])
 def test_unreadable_lines_are_errors(spark, tmp_path, bad):
     src = bundle_rows(tmp_path)
