@@ -259,7 +259,7 @@ def resolve(spark: SparkSession, root: str, data: str = "data", output: str = "r
         raise FileNotFoundError(f"{lost} references to media are broken")
     if not check_only:
         rows.write.mode("overwrite").partitionBy("name").text(f"{root}/{output}")
-    return {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy("name").limit(10_000).collect()}
+    return {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy("name").toLocalIterator()}
 
 
 def check(spark: SparkSession, root: str, data: str = "runtime_data", verify_images: bool = False, max_errors: int = 20) -> DataFrame:

@@ -87,9 +87,11 @@ def preview_card(dataset: Column, sample_id: Column, messages: Column, images: C
     return F.concat(F.lit("<article><h2>"), html_escape(dataset), F.lit(" / "), html_escape(sample_id), F.lit("</h2>"), media_cards(images, videos), F.lit("<h3>Request</h3><p>"), said("user"), F.lit("</p><h3>Target</h3><p>"), said("assistant"), F.lit("</p></article>"))
 
 
-def write_preview(cards: DataFrame, path: str, limit: int = 200) -> None:
-    """A page of the first cards (columns ordinal, card); the page is for looking at, so it has at most limit of them."""
-    rows = cards.orderBy("ordinal").limit(limit).collect()
+def write_preview(cards: DataFrame, path: str) -> None:
+    """A page of all cards (columns ordinal, card), in order; rows stream through the driver."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('<!doctype html><meta charset="utf-8"><title>Preview</title><style>img{width:220px}.clip{display:flex}</style>' + "".join(r["card"] for r in rows))
+    with open(f"{path}.part", "w", encoding="utf-8") as f:
+        f.write('<!doctype html><meta charset="utf-8"><title>Preview</title><style>img{width:220px}.clip{display:flex}</style>')
+        for r in cards.orderBy("ordinal").toLocalIterator():
+            f.write(r["card"])
+    os.replace(f"{path}.part", path)

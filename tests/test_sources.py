@@ -129,6 +129,13 @@ def test_pack_keeps_all_keys_and_media(spark, tmp_path):
     assert isinstance(back["rejected_audios"], str) and [len(v) for v in back["rejected_videos"]] == [2]
 
 
+def test_preview_has_all_cards(spark, tmp_path):
+    cards = spark.range(300).selectExpr("300 - id AS ordinal", "concat('<article>', id, '</article>') AS card")
+    sinks.write_preview(cards, str(tmp_path / "preview.html"))
+    page = (tmp_path / "preview.html").read_text()
+    assert page.count("<article>") == 300 and page.index(">299<") < page.index(">0<")
+
+
 @pytest.mark.parametrize("bad", ["{", "[1]", "5", "null"])
 def test_unreadable_lines_are_errors(spark, tmp_path, bad):
     src = bundle_rows(tmp_path)
