@@ -66,14 +66,15 @@ def digest(*c: Column) -> Column:
 #: The same, for operators that need the messages only.
 MESSAGES = T.StructType([ROW["messages"], ROW["_corrupt"]])
 
-#: A key is hot if it has this share of all rows, and HOT_ROWS at least. So at most 1 / HOT_SHARE keys are hot, which bounds what is broadcast.
-HOT_SHARE, HOT_ROWS = 0.001, 5_000
+#: A key is hot if it has this share of all rows, and HOT_ROWS at least, but always from HOT_MOST rows, which one task can hold. So at most
+#: 1 / HOT_SHARE or rows / HOT_MOST keys are hot, which bounds what is broadcast: 100,000 keys at 10^11 rows.
+HOT_SHARE, HOT_ROWS, HOT_MOST = 0.001, 5_000, 1_000_000
 #: Partial counts of key buckets find the few buckets that can hold a hot key.
 BUCKETS = 1 << 14
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT_ROWS) -> DataFrame:
-    """The hot keys of df with their exact counts (columns: key, n), at most 1 / share rows.
+    """The hot keys of df with their exact counts (columns: key, n).
 
     First the rows of each of BUCKETS hash buckets are counted (map-side partial counts, so BUCKETS rows a task leave it);
     a hot key can only lie in a bucket with as many rows, so exact counts are made for the keys of those buckets alone.
@@ -82,7 +83,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT
     bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS))
     there = df.where(F.col(key).isNotNull())
     counts = there.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-    limit = max(least, int(share * sum(r["n"] for r in counts)))
+    limit = min(max(least, int(share * sum(r["n"] for r in counts))), max(least, HOT_MOST))
     heavy = [r["b"] for r in counts if r["n"] >= limit]
     if not heavy:
         return there.select(key).limit(0).withColumn("n", F.lit(0).cast("long"))
@@ -100,3 +101,25 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str
         return rows.join(table, key, how)
     cold = rows.join(few, key, "left_anti").join(table, key, how)
     return cold.unionByName(rows.join(few, key, "left_semi").join(F.broadcast(table.join(few, key, "left_semi")), key, how))
+
+
+#: Cells into which the rows of a hot key are spread on each side of spread_join.
+CELLS = 8
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """left joined with right on key, of which both sides may have many rows, safe from hot keys.
+
+    hot: keys that are hot on either side (its column key). Rows of those get one of CELLS places by a hash of the row and are repeated over the CELLS
+    places of the other side, so each pair meets in exactly one of CELLS * CELLS tasks. Other columns need different names.
+    """
+    if hot.isEmpty():
+        return left.join(right, key)
+    few = F.broadcast(hot.select(key).distinct().withColumn("__hot", F.lit(True)))
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(CELLS)).cast("int")
+        met = df.join(few, key, "left").withColumn(own, F.when(F.col("__hot"), place).otherwise(0))
+        return met.withColumn(other, F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(CELLS - 1))).otherwise(F.array(F.lit(0))))).drop("__hot")
+
+    return placed(left, "__l", "__r").join(placed(right, "__r", "__l"), [key, "__l", "__r"]).drop("__l", "__r")

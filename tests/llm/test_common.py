@@ -37,3 +37,17 @@ def test_hot_keys_and_lookup(spark):
     for how in ("inner", "left"):
         assert sorted(map(str, C.lookup(rows, table, "k", hot, how).select("id", "k", "v").collect())) == sorted(map(str, rows.join(table, "k", how).select("id", "k", "v").collect()))
     assert C.hot_keys(rows.limit(0), "k").count() == 0 and C.hot_keys(rows, "k", share=0.9, least=10).count() == 0
+
+
+def test_spread_join(spark):
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"))
+    right = spark.range(60).select(F.col("id").alias("v"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    hot = C.hot_keys(left, "k", share=0.1, least=10)
+    rows = lambda df: sorted((r.id, r.k, r.v) for r in df.collect())
+    assert rows(C.spread_join(left, right, "k", hot)) == rows(left.join(right, "k")) == rows(C.spread_join(left, right, "k", hot.limit(0)))
+
+
+def test_hot_from_a_fixed_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(C, "HOT_MOST", 100)
+    df = spark.range(4000).select((F.col("id") % 30).cast("string").alias("k"))
+    assert C.hot_keys(df, "k", share=0.5, least=10).count() == 30
