@@ -2,28 +2,30 @@
 
 Method: components of related records are bundled by identical size and label profile; a minimum-cost flow spreads the bundles over
 the splits with a cost for each row beyond a split's quota; the flow is rounded to whole components; members are assigned by hash.
+All bundles of a label have the same arcs, so the flow is solved for labels and shared out over their bundles.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sampling import hash_rank, shuffle_key
 from ..session import fixed_rows, stage
 from . import common as C
 from .components import components
 from .flow import min_cost_flow
 
-#: Components of at most so many rows are bundled by their exact size, larger ones by size classes of 1 % each (their exact sum is kept).
-#: That bounds the number of bundles, which the driver solves for, by about (EXACT + 3000) times the labels.
-EXACT = 512
-#: Bundles of more components than this give each split its number by hash thresholds, smaller ones by the exact order of hashes.
-ORDERED = 20_000
-#: Components of a larger share of all rows are placed one by one.
-LARGE = 0.001
-SEED = "split-1"
+#: Sizes of components that make one bundle differ by less than this factor, so those up to 1 / (STEP - 1) rows make one each. That bounds the
+#: bundles of a label, which the driver shares out, by about log(rows) / log(STEP); their exact sum of rows is kept.
+STEP = 1.01
+#: Labels with quotas of their own: the largest ones by rows; the others share one.
+LABELS = 200
+#: Share of all rows by which whole components may leave the flow before it is solved again.
+DRIFT = 0.001
+SEED = 1
 
 
 def entities(built: DataFrame) -> DataFrame:
@@ -58,70 +60,62 @@ def groups(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("node").isNotNull()).select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def parted(built: DataFrame) -> DataFrame:
-    """(sample_key): samples whose group has samples in more than one split now.
+def quotas(rows: dict[str, float], wanted: dict[str, list[float]], missing: list[float]) -> dict[str, list[float]]:
+    """Rows of each label (label: rows) that go to each split, by a minimum-cost flow.
 
-    Samples without dataset, metadata or entity stand alone; samples without split aren't listed, but their derived_from joins groups.
-    Unreadable metadata counts as none; an empty table gives no rows.
+    wanted: rows of each label that each split should get; missing: rows that each split should get. The graph has a node for each label, each label in
+    a split, and each split; each row beyond what a split should get costs 2, beyond what a label should give to it 1.
     """
-    rows = stage(entities(built))
-    # rows meet their group by entity, of which a third of all rows may share one: counts by entity first, then a lookup safe from hot keys
-    by = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    met = by.join(groups(rows), "node")
-    bad = met.groupBy("root").agg(F.min("low").alias("l"), F.max("high").alias("h")).where(F.col("l") < F.col("h")).select("root")
-    nodes = met.join(bad, "root").select("node")
-    there = rows.where(F.col("part").isNotNull() & F.col("node").isNotNull()).select("sample_key", "node")
-    return C.lookup(there, nodes, "node", C.hot_keys(there, "node")).select("sample_key")
+    labels, k = sorted(rows), len(missing)
+    amount = {x: round(rows[x]) for x in labels}
+    first = 1 + len(labels)
+    split_at = first + len(labels) * k
+    sink, total = split_at + k, sum(amount.values())
+    arcs = []
+    for j, x in enumerate(labels):
+        arcs.append((0, 1 + j, amount[x], 0))
+        for s in range(k):
+            own, at = first + j * k + s, split_at + s
+            arcs += [(1 + j, own, amount[x], 0), (own, at, math.ceil(max(0.0, wanted[x][s])), 0), (own, at, amount[x], 1)]
+    for s in range(k):
+        arcs += [(split_at + s, sink, math.ceil(max(0.0, missing[s])), 0), (split_at + s, sink, total, 2)]
+    flow = min_cost_flow(sink + 1, arcs, 0, sink, total)
+    return {x: [float(flow[j * (1 + 3 * k) + 1 + 3 * s]) for s in range(k)] for j, x in enumerate(labels)}
 
 
 def plan(bundles: list[tuple[tuple, int, int]], shares: list[float]) -> dict[tuple, list[int]]:
     """How many components of each bundle (key, components, rows; key[0] is the label) go to each split.
 
-    Components larger than LARGE of all rows can't be divided with the flow, so they are placed first, largest first, where most rows
-    are missing. The flow then has a node for each other bundle, each label in a split and each split; each row beyond the quota of a
-    split costs 2, beyond the quota of a label in a split 1. Flows are rounded down to whole components; those left over go, largest
-    first, where most rows are missing.
+    The flow gives each label's rows by split. They are shared out over the label's bundles, largest components first: each bundle is divided in
+    proportion to what its label still has to give to the splits, rounded down to whole components, and those left over go one by one where most
+    rows of the label are missing. Whenever whole components have taken DRIFT of all rows more than the flow gave them, the flow
+    is solved again for what is left, so smaller components make good what larger ones couldn't.
     """
-    total, k = sum(b[2] for b in bundles), len(shares)
-    labels = sorted({b[0][0] for b in bundles})
-    of_label = {x: sum(b[2] for b in bundles if b[0][0] == x) for x in labels}
+    k, total = len(shares), sum(n for _, _, n in bundles)
+    left: dict[str, float] = {}
+    for key, _, n in bundles:
+        left[key[0]] = left.get(key[0], 0) + n
+    wanted = {x: [share * n for share in shares] for x, n in left.items()}
     missing = [share * total for share in shares]
-    wanted = {(x, s): share * of_label[x] for x in labels for s, share in enumerate(shares)}
-    out = {key: [0] * k for key, _, _ in bundles}
-
-    def place(key: tuple, size: float) -> None:
-        s = max(range(k), key=lambda s: missing[s])
-        out[key][s] += 1
-        missing[s] -= size
-        wanted[key[0], s] -= size
-
-    large = [b for b in bundles if b[2] / b[1] > LARGE * total]
-    for key, n, rows in sorted(large, key=lambda b: (-b[2] / b[1], str(b[0]))):
-        for _ in range(n):
-            place(key, rows / n)
-    small = [b for b in bundles if b[2] / b[1] <= LARGE * total]
-    first = 1 + len(small)
-    split_at = first + len(labels) * k
-    sink, amount = split_at + k, sum(b[2] for b in small)
-    arcs = []
-    for i, (key, _, rows) in enumerate(small):
-        arcs.append((0, 1 + i, rows, 0))
-        arcs += [(1 + i, first + labels.index(key[0]) * k + s, rows, 0) for s in range(k)]
-    for j, x in enumerate(labels):
-        for s in range(k):
-            arcs += [(first + j * k + s, split_at + s, max(0, math.ceil(wanted[x, s])), 0), (first + j * k + s, split_at + s, amount, 1)]
-    for s in range(k):
-        arcs += [(split_at + s, sink, max(0, math.ceil(missing[s])), 0), (split_at + s, sink, amount, 2)]
-    flow = min_cost_flow(sink + 1, arcs, 0, sink, amount)
-    rest = []
-    for i, (key, n, rows) in enumerate(small):
-        got = flow[i * (k + 1) + 1 : (i + 1) * (k + 1)]
-        out[key] = [int(g * n // rows) for g in got]
+    owed, drift, out = quotas(left, wanted, missing), 0.0, {}
+    for key, n, size in sorted(bundles, key=lambda b: (-b[2] / b[1], str(b[0]))):
+        x, each = key[0], size / n
+        if drift > DRIFT * total:
+            owed, drift = quotas(left, wanted, missing), 0.0
+        mine = owed[x]
+        open_rows = [max(0.0, v) for v in mine]
+        whole = sum(open_rows) or 1.0
+        got = [int(n * v / whole + 1e-9) for v in open_rows]
+        for _ in range(n - sum(got)):
+            s = max(range(k), key=lambda s: (mine[s] - got[s] * each, missing[s]))
+            drift += max(0.0, min(each, (got[s] + 1) * each - open_rows[s]))
+            got[s] += 1
         for s in range(k):
-            missing[s] -= out[key][s] * rows / n
-        rest += [(rows / n, key)] * (n - sum(out[key]))
-    for size, key in sorted(rest, key=lambda x: (-x[0], str(x[1]))):
-        place(key, size)
+            mine[s] -= got[s] * each
+            missing[s] -= got[s] * each
+            wanted[x][s] -= got[s] * each
+        left[x] -= size
+        out[key] = got
     return out
 
 
@@ -129,15 +123,16 @@ def bundled(built: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows, (node, root), and the components (root, label, size, b): label is the dataset with most rows."""
     rows = stage(entities(built).withColumn("node", F.coalesce("node", F.concat(F.lit("#"), F.col("sample_key").cast("string")))))
     there = stage(groups(rows))
-    by = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).join(there, "node").groupBy("root", "label").agg(F.sum("n").alias("n"))
+    common = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("label is not null").orderBy(F.desc("n"), "label").limit(LABELS).collect()
+    label = F.when(F.col("label").isin([r["label"] for r in common]), F.col("label"))
+    by = rows.withColumn("label", label).groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).join(there, "node").groupBy("root", "label").agg(F.sum("n").alias("n"))
     size = F.sum("n").alias("size")
     whole = by.groupBy("root").agg(size, F.max_by(F.coalesce("label", F.lit("")), F.struct("n", "label")).alias("label"))
-    step = F.when(F.col("size") <= EXACT, F.col("size")).otherwise(EXACT + F.ceil(F.log(1.01, F.col("size") / EXACT)))
-    return rows, there, stage(whole.withColumn("b", step.cast("long")))
+    return rows, there, stage(whole.withColumn("b", F.floor(F.log(STEP, F.col("size")) + 1e-9)))
 
 
-def assign(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFrame:
-    """(sample_key, new_split): every sample gets a split, and related samples get the same one.
+def assigned(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFrame:
+    """(sample_key, part, root, new_split): every sample with its split now, its group and its new split; related samples get the same one.
 
     targets: split, target_share; shares are scaled to 1, null ones count as 0. Samples with null dataset, metadata or entity are
     components of their own. Ties are decided by hash, so the result is the same for any partitioning.
@@ -151,14 +146,37 @@ def assign(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFra
     counts = plan(bundles, [x / scale for _, x in goals]) if bundles else {}
     table = []
     for (key, n, _) in bundles:
-        table.append((*key, n, [sum(counts[key][: s + 1]) for s in range(len(goals))]))
-    ends = F.broadcast(spark.createDataFrame(table, "label string, b long, n long, ends array<long>"))  # bounded: see EXACT
-    draw = F.conv(F.substring(F.sha1(F.concat_ws(":", F.lit(SEED), "root")), 1, 12), 16, 10).cast("double") / float(1 << 48)
-    met = whole.select("root", "label", "b").join(ends, ["label", "b"]).withColumn("u", draw)
-    exact = met.where(F.col("n") <= ORDERED).withColumn("at", F.row_number().over(Window.partitionBy("label", "b").orderBy("u", "root")) - 1)
-    many = met.where(F.col("n") > ORDERED).withColumn("at", F.floor(F.col("u") * F.col("n")))
+        table.append((*key, [sum(counts[key][: s + 1]) for s in range(len(goals))]))
+    ends = F.broadcast(spark.createDataFrame(table, "label string, b long, ends array<long>"))  # bounded: see STEP and LABELS
+    met = whole.select("root", "label", "b").join(ends, ["label", "b"])
     names = F.array(*[F.lit(x) for x, _ in goals])
-    chosen = exact.unionByName(many).withColumn("s", F.size(F.filter("ends", lambda e: e <= F.col("at")))).select("root", F.get(names, F.col("s")).alias("new_split"))
-    fate = there.join(chosen, "root").select("node", "new_split")
-    pairs = rows.select("sample_key", "node")
-    return C.lookup(pairs, fate, "node", C.hot_keys(pairs, "node")).select("sample_key", "new_split")
+    drawn = hash_rank(met, shuffle_key(SEED, F.col("root")), ["root"], ["label", "b"])
+    chosen = drawn.withColumn("s", F.size(F.filter("ends", lambda e: e < F.col("rank")))).select("root", F.get(names, F.col("s")).alias("new_split"))
+    # a component may hold a third of all entities, and an entity a third of all rows
+    fate = C.lookup(there, chosen, "root", C.hot_keys(there, "root")).select("node", "root", "new_split")
+    pairs = rows.select("sample_key", "part", "node")
+    return C.lookup(pairs, fate, "node", C.hot_keys(pairs, "node")).select("sample_key", "part", "root", "new_split")
+
+
+def assign(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFrame:
+    """(sample_key, new_split): the new split of every sample; see assigned()."""
+    return assigned(spark, built, targets).select("sample_key", "new_split")
+
+
+def parted(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFrame:
+    """(sample_key): samples whose group has samples in more than one split now, which assigned() brings together.
+
+    Samples without dataset, metadata or entity stand alone; samples without split aren't listed, but their derived_from joins groups.
+    Unreadable metadata counts as none; an empty table gives no rows.
+    """
+    rows = stage(assigned(spark, built, targets).where("part is not null").select("sample_key", "part", "root"))
+    bad = rows.groupBy("root").agg(F.min("part").alias("l"), F.max("part").alias("h")).where(F.col("l") < F.col("h")).select("root")
+    return C.lookup(rows, bad, "root", C.hot_keys(rows, "root")).select("sample_key")
+
+
+def report(spark: SparkSession, built: DataFrame, targets: DataFrame) -> DataFrame:
+    """(split, target_share, rows, share): what each split of assign() wants and gets."""
+    got = assign(spark, built, targets).groupBy(F.col("new_split").alias("split")).agg(F.count(F.lit(1)).alias("rows"))
+    there = built.count() or 1
+    rows = F.coalesce("rows", F.lit(0))
+    return targets.where("split is not null").select("split", F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)).alias("target_share")).join(got, "split", "left").select("split", "target_share", rows.alias("rows"), (rows / there).alias("share"))

@@ -1,4 +1,5 @@
 import json
+import time
 from collections import Counter, defaultdict
 
 from frameloom.llm import splits
@@ -10,6 +11,10 @@ BUILT = "sample_key long, dataset string, split string, metadata string, node st
 TARGETS = "split string, target_share double"
 
 
+def parted(spark, built):
+    return splits.parted(spark, built, spark.createDataFrame([("train", 0.8), ("val", 0.1), ("test", 0.1)], TARGETS))
+
+
 def sample(key, dataset, split, **meta):
     return (key, dataset, split, json.dumps(meta) if meta else None, "x", None, "y")
 
@@ -31,9 +36,9 @@ def test_parted(spark):
         (13, "d3", "val", "{broken", "x", None, "y"),
         sample(14, "d3", "test", category_id=7),
     ]
-    got = {r.sample_key for r in splits.parted(spark.createDataFrame(rows, BUILT)).collect()}
+    got = {r.sample_key for r in parted(spark, spark.createDataFrame(rows, BUILT)).collect()}
     assert got == {1, 2, 5, 6, 7, 9}
-    assert splits.parted(spark.createDataFrame([], BUILT)).count() == 0
+    assert parted(spark, spark.createDataFrame([], BUILT)).count() == 0
 
 
 def test_assign_keeps_groups(spark):
@@ -58,7 +63,7 @@ def test_real_rows(spark, data):
     built = read_table(spark, data, "built_samples")
     fate = splits.assign(spark, built, read_table(spark, data, "split_targets"))
     moved = built.drop("split").join(fate.withColumnRenamed("new_split", "split"), "sample_key")
-    assert fate.count() == built.count() and splits.parted(moved).count() == 0
+    assert fate.count() == built.count() and parted(spark, moved).count() == 0
 
 
 def test_components(spark):
@@ -83,3 +88,19 @@ def test_plan_rounds_to_whole_components():
     assert all(sum(out[key]) == n for key, n, _ in bundles)
     rows = [sum(out[key][s] * r / n for key, n, r in bundles) for s in range(3)]
     assert abs(rows[0] - 1544) <= 10 and abs(rows[1] - 193) <= 10
+
+
+def test_plan_of_many_bundles():
+    # large components are bundles as all others; smaller ones make good what they can't
+    bundles = [((f"l{i % 7}", i), 1 + i % 40, (1 + i % 40) * (1 + i // 7)) for i in range(25_000)] + [(("l0", -1), 1, 20_000_000)]
+    began = time.time()
+    out = splits.plan(bundles, [0.8, 0.1, 0.1])
+    assert time.time() - began < 5 and all(sum(out[key]) == n for key, n, _ in bundles)
+    total = sum(r for _, _, r in bundles)
+    shares = [sum(out[key][s] * r / n for key, n, r in bundles) / total for s in range(3)]
+    assert abs(shares[0] - 0.8) < 1e-3 and abs(shares[1] - 0.1) < 1e-3
+
+
+def test_report(spark, data):
+    got = splits.report(spark, read_table(spark, data, "built_samples"), read_table(spark, data, "split_targets")).collect()
+    assert abs(sum(r.share for r in got) - 1) < 1e-9 and all(abs(r.share - r.target_share) < 0.02 for r in got)
