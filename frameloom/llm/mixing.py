@@ -3,10 +3,14 @@
 Method: each source's tokens are packed into blocks of fixed length; every output shard draws its counts of slots by source from a multinomial;
 a slot of a source is mapped to a block through pseudorandom permutations of the source's block numbers, one for each repetition; slots and
 blocks are joined by source and block number.
+
+Counts by shard are drawn without replacement from the mix's totals, that is from the multinomial given its totals (a multivariate hypergeometric
+draw), so that shares are exact over all shards. Any shard's counts follow from the totals by halving the range of shards, so tasks draw them by themselves.
 """
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -14,69 +18,89 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fixed_rows, stage
 from . import common as C
 
-#: Tokens of a block, least slots of an output shard, and most shards: larger mixes have larger shards, so the driver's draws stay bounded.
-BLOCK, SHARD, SHARDS = 512, 256, 20_000
+#: Tokens of a block, and slots of an output shard.
+BLOCK, SHARD = 512, 256
 #: Sources that targets may name; bounds what the driver keeps.
 SOURCES = 10_000
-#: Folder of the tokenizers' files and the one that is used; documents end with its end-of-text token.
+#: Rows of a source that are numbered in one task.
+BUCKET = 50_000
+#: Folder of the tokenizers' files and the one that is used: token bytes and ranks. The token after the last rank ends a document.
 TOKENIZERS = os.environ.get("FRAMELOOM_TOKENIZERS", "/opt/tokenizers")
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER = "byte_bpe_50k.tiktoken"
+#: How that tokenizer parts a text.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEED = 9
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
+    return tiktoken.Encoding("mix", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), len(ranks)
+
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+def width(path: str) -> int:
+    """Bytes of a token in packed ids."""
+    with open(path, "rb") as f:
+        return 2 if sum(1 for line in f if line.strip()) < 1 << 16 else 4
 
 
-def token_counts(path: str):
-    """A mapInPandas function: (doc_id, source, text) to (doc_id, source, tokens), with one token more for the end of each text."""
+def packed_ids(name: str, size: int):
+    """A mapInPandas function: (doc_id, source, text) to (doc_id, source, tokens, ids); ids are packed, of size bytes each, lowest first.
+
+    The tokenizer's file is one that the session has sent to the workers (addFile).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        made = _tokenizer(path)
+        made, end = _tokenizer(SparkFiles.get(name))
+        kind = np.dtype(f"<u{size}")
         for pdf in batches:
-            counts: list[int] = []
-            texts = pdf["text"].tolist()
-            for i in range(0, len(texts), 64):
-                counts += [len(e.ids) + 1 for e in made.encode_batch(texts[i : i + 64], add_special_tokens=False)]
-            yield pdf[["doc_id", "source"]].assign(tokens=np.asarray(counts, np.int64))
+            ids = [np.array([*made.encode_ordinary(text), end], kind) for text in pdf["text"]]
+            yield pdf[["doc_id", "source"]].assign(tokens=np.fromiter((len(x) for x in ids), np.int64, len(ids)), ids=pd.Series([x.tobytes() for x in ids], dtype=object, index=pdf.index))
 
     return run
 
 
 def blocks(documents: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """(source, block, spans: (doc_id, start, length), tokens) and (source, docs, tokens, blocks).
+    """(source, block, tokens, ids, spans: (doc_id, start, length)) and (source, docs, tokens, blocks).
 
     A source's documents follow one another in hash order; a block holds BLOCK of their tokens, so a document may span blocks; the rest at
     a source's end makes a shorter block. Offsets come from sums over buckets of the hash, so that no source is ordered in one task.
     """
+    size = width(path)
+    documents.sparkSession.sparkContext.addFile(path)
     docs = documents.select(F.col("doc_id").alias("doc_id"), C.canon_name(F.col("source")).alias("source"), F.col("text").alias("text")).where("source is not null and text is not null and text != ''")
-    counted = stage(docs.mapInPandas(token_counts(path), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, source string, tokens long").withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")))
-    totals = counted.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    counted = docs.mapInPandas(packed_ids(os.path.basename(path), size), f"doc_id {kind}, source string, tokens long, ids binary")
+    # numbered once and written, so the number stays the same; documents that recur are told apart by it
+    counted = stage(counted.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")).withColumn("tie", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id()))
+    light = counted.select("row", "doc_id", "source", "tokens", "h", "tie")
+    totals = light.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens"))
     # each bucket of a source holds few rows: their number follows the source's size
-    per = totals.select("source", F.greatest(F.lit(1), F.ceil(F.col("docs") / 50_000)).cast("long").alias("buckets"))
-    placed = counted.join(F.broadcast(per), "source").withColumn("bucket", F.floor((F.col("h").cast("double") / float(1 << 64) + 0.5) * F.col("buckets")).cast("long"))  # totals: as many rows as sources, see mix()
+    per = totals.select("source", F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET)).cast("long").alias("buckets"))
+    placed = light.join(F.broadcast(per), "source").withColumn("bucket", F.floor((F.col("h").cast("double") / float(1 << 64) + 0.5) * F.col("buckets")).cast("long"))  # totals: as many rows as sources, see mix()
     sums = placed.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
     before = sums.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("source", "bucket", F.coalesce("base", F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.withColumn("inner", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(before, ["source", "bucket"]).withColumn("at", F.col("base") + F.col("inner"))
+    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "tie", "row").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.withColumn("inner", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(before, ["source", "bucket"]).select("row", (F.col("base") + F.col("inner")).alias("at"))
+    met = counted.select("row", "doc_id", "source", "tokens", "ids").join(starts, "row")
     first, last = F.floor(F.col("at") / BLOCK), F.floor((F.col("at") + F.col("tokens") - 1) / BLOCK)
-    cut = starts.select("source", "doc_id", "at", "tokens", F.explode(F.sequence(first, last)).alias("block"))
+    cut = met.withColumn("block", F.explode(F.sequence(first, last)))
     low, high = F.greatest("at", F.col("block") * BLOCK), F.least(F.col("at") + F.col("tokens"), (F.col("block") + 1) * BLOCK)
-    spans = cut.select("source", "block", F.struct((low - F.col("block") * BLOCK).alias("place"), "doc_id", (low - F.col("at")).alias("start"), (high - low).alias("length")).alias("span"))
-    made = spans.groupBy("source", "block").agg(F.array_sort(F.collect_list("span")).alias("spans"), F.sum("span.length").alias("tokens"))  # at most BLOCK spans
-    return made, totals.withColumn("blocks", F.ceil(F.col("tokens") / BLOCK))
+    start, length = (low - F.col("at")).cast("int"), (high - low).cast("int")
+    span = F.struct((low - F.col("block") * BLOCK).alias("place"), "doc_id", start.alias("start"), length.alias("length"), F.substring(F.col("ids"), start * size + 1, length * size).alias("ids"))
+    made = cut.select("source", "block", span.alias("span")).groupBy("source", "block").agg(F.array_sort(F.collect_list("span"), lambda x, y: (x["place"] - y["place"]).cast("int")).alias("s"), F.sum("span.length").alias("tokens"))  # at most BLOCK spans
+    whole = F.aggregate("s", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
+    return made.select("source", "block", "tokens", whole.alias("ids"), F.transform("s", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["start"].alias("start"), x["length"].alias("length"))).alias("spans")), totals.withColumn("blocks", F.ceil(F.col("tokens") / BLOCK))
 
 
 def budget(goals: list[tuple[str, float, int]], there: dict[str, int]) -> dict[str, int]:
@@ -109,41 +133,89 @@ def mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, path: str
     return made, there, [(*g, r[1]) for g, r in zip(goals, goals_rows, strict=True)], slots
 
 
-def draws(slots: dict[str, int], seed: int = SEED) -> list[tuple[int, str, int, int]]:
-    """(shard, source, first slot of the source, slots): counts by shard, drawn without replacement from the mix's totals.
+def hypergeometric(random: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """Good ones among n drawn; beyond what numpy takes, by the normal distribution that such large numbers follow."""
+    if good + bad < 10**9:
+        return int(random.hypergeometric(good, bad, n)) if n else 0
+    total = good + bad
+    spread = (n * (good / total) * (bad / total) * ((total - n) / max(1, total - 1))) ** 0.5
+    return min(good, n, max(0, n - bad, round(n * (good / total) + spread * random.standard_normal())))
 
-    That is the multinomial draw given its totals (a multivariate hypergeometric one), so that shares are exact over all shards.
+
+def shard_counts(totals: list[int], size: int, low: int, high: int, seed: int = SEED) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(shard, first slot of each source, slots of each source) of shards low .. high - 1; each but the last has size slots in all.
+
+    The counts of a range of shards are divided between its halves by a draw whose seed is the range's place, so any shard's counts are the same
+    wherever they are drawn.
     """
-    random = np.random.default_rng(seed)
-    names = sorted(s for s in slots if slots[s] > 0)
-    left, used = np.array([slots[s] for s in names], np.int64), dict.fromkeys(names, 0)
-    out = []
-    size = max(SHARD, -(-int(left.sum()) // SHARDS)) if names else SHARD
-    for shard in range(-(-int(left.sum()) // size) if names else 0):
-        got = random.multivariate_hypergeometric(left, min(size, int(left.sum())), method="marginals")
-        left -= got
-        for s, n in zip(names, got.tolist(), strict=True):
-            if n:
-                out.append((shard, s, used[s], n))
-                used[s] += n
-    return out
+
+    def walk(a: int, b: int, first: list[int], counts: list[int], place: int) -> Iterator[tuple[int, list[int], list[int]]]:
+        if b <= low or high <= a:
+            return
+        if b - a == 1:
+            yield a, first, counts
+            return
+        middle, random = (a + b) // 2, np.random.default_rng([seed, place])
+        rest, want, left = sum(counts), (middle - a) * size, []
+        for n in counts:
+            rest -= n
+            left.append(hypergeometric(random, n, rest, want))
+            want -= left[-1]
+        yield from walk(a, middle, first, left, 2 * place)
+        yield from walk(middle, b, [x + y for x, y in zip(first, left, strict=True)], [x - y for x, y in zip(counts, left, strict=True)], 2 * place + 1)
+
+    shards = -(-sum(totals) // size)
+    if shards:
+        yield from walk(0, shards, [0] * len(totals), list(totals), 1)
+
+
+@lru_cache(maxsize=100_000)
+def _key(source: str, repetition: int) -> int:
+    return xxhash.xxh64_intdigest(f"{SEED}:{source}:{repetition}")
+
+
+def _slots(sources: list[str], slots: list[int], blocks_: list[int]):
+    """A mapInPandas function: shards (id) to their slots (shard, slot, source, repetition, block)."""
+    names, sizes = np.array(sources, dtype=object), np.array(blocks_, np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids = pdf["id"].tolist()
+            if not ids:
+                continue
+            out = []
+            # ids of a batch follow one another
+            for shard, first, counts in shard_counts(slots, SHARD, min(ids), max(ids) + 1):
+                n = np.array(counts, np.int64)
+                source = np.repeat(np.arange(len(n)), n)
+                i = np.array(first, np.int64)[source] + np.arange(len(source)) - np.repeat(np.cumsum(n) - n, n)
+                repetition, x = i // sizes[source], i % sizes[source]
+                keys = np.array([_key(sources[s], r) for s, r in zip(source.tolist(), repetition.tolist(), strict=True)], np.uint64)
+                block = permutation(x, sizes[source], keys) if len(x) else x
+                slot = np.random.default_rng([SEED, shard, 1]).permutation(len(source))
+                out.append(pd.DataFrame({"shard": np.full(len(source), shard, np.int64), "slot": slot, "source": names[source], "repetition": repetition, "block": block}))
+                if len(out) == 64:
+                    yield pd.concat(out, ignore_index=True)
+                    out = []
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    return run
 
 
 def mixture(spark: SparkSession, documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
-    """(shard, slot, source, repetition, block, tokens, spans): the mix's blocks in order.
+    """(shard, slot, source, repetition, block, tokens, ids, spans): the mix's blocks in order, with their tokens (packed, see packed_ids) and documents.
 
     Documents without source or text, and of sources without target, aren't mixed. No block is used more than its source's
     max_repeats times, so no document is. Shares of sources are met in blocks, so in tokens up to a block a source.
     """
     made, there, goals, slots = mix(spark, documents, targets, path)
-    table = pd.DataFrame([(a, s, b, n, there[s]) for a, s, b, n in draws(slots)], columns=["shard", "source", "first", "n", "blocks"])
-    counts = spark.createDataFrame(table) if len(table) else spark.createDataFrame([], "shard long, source string, first long, n long, blocks long")
-    each = counts.repartition(spark.sparkContext.defaultParallelism).select("shard", "source", "blocks", F.posexplode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("p", "i"))
-    each = each.withColumn("repetition", F.floor(F.col("i") / F.col("blocks"))).withColumn("x", F.pmod("i", "blocks"))
-    mapped = each.mapInPandas(_permute, "shard long, source string, p int, repetition long, block long")
+    used = sorted(s for s in slots if slots[s] > 0)
+    shards = -(-sum(slots.values()) // SHARD)
+    each = spark.range(0, shards, 1, max(1, min(shards, 4 * spark.sparkContext.defaultParallelism)))
+    mapped = each.mapInPandas(_slots(used, [slots[s] for s in used], [there[s] for s in used]), "shard long, slot int, source string, repetition long, block long")
     names = spark.createDataFrame([(s, name) for s, _, _, name in goals] or [("", "")], "source string, name string")
-    placed = mapped.withColumn("slot", F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(SEED), "shard", "source", "p"), "source", "p")) - 1)  # slots of one shard: see SHARDS
-    return placed.join(made, ["source", "block"]).join(F.broadcast(names), "source").select("shard", "slot", F.col("name").alias("source"), "repetition", "block", "tokens", "spans")
+    return mapped.join(made, ["source", "block"]).join(F.broadcast(names), "source").select("shard", "slot", F.col("name").alias("source"), "repetition", "block", "tokens", "ids", "spans")
 
 
 def _mixed(x: np.ndarray, key: np.ndarray, r: int) -> np.ndarray:
@@ -168,12 +240,6 @@ def permutation(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return y.astype(np.int64)
 
 
-def _permute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        keys = np.array([xxhash.xxh64_intdigest(f"{SEED}:{s}:{r}") for s, r in zip(pdf["source"], pdf["repetition"], strict=True)], np.uint64)
-        yield pdf[["shard", "source", "p", "repetition"]].assign(block=permutation(pdf["x"].to_numpy(), pdf["blocks"].to_numpy(), keys))
-
-
 def report(spark: SparkSession, documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
     """(source, target_share, reached_share, tokens, slots, max_repeats): shares of the mix in tokens, by target."""
     goals = targets.select("source", F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)).alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats")).where(C.canon_name(F.col("source")).isNotNull())

@@ -27,12 +27,19 @@ def test_budget_caps_and_fills():
 
 
 def test_draws_add_up():
-    drawn = mixing.draws({"a": 700, "b": 300, "c": 0})
-    per = Counter()
-    for _, s, first, n in drawn:
-        assert first == per[s]
-        per[s] += n
-    assert per == {"a": 700, "b": 300} and len({d[0] for d in drawn}) == 4
+    drawn = list(mixing.shard_counts([700, 300, 0], 256, 0, 4))
+    so_far = [0, 0, 0]
+    for k, (shard, first, n) in enumerate(drawn):
+        assert shard == k and first == so_far and sum(n) == (256 if k < 3 else 232)
+        so_far = [x + y for x, y in zip(so_far, n, strict=True)]
+    assert so_far == [700, 300, 0] and [d for k in range(4) for d in mixing.shard_counts([700, 300, 0], 256, k, k + 1)] == drawn
+    assert list(mixing.shard_counts([], 256, 0, 1)) == []
+
+
+def test_draws_of_very_many_slots():
+    totals = [7 * 10**10, 3 * 10**10]
+    shard, first, n = next(iter(mixing.shard_counts(totals, 256, 12_345_678, 12_345_679)))
+    assert shard == 12_345_678 and sum(n) == 256 and sum(first) == shard * 256 and 130 < n[0] < 230 and abs(first[0] / sum(first) - 0.7) < 0.001
 
 
 def test_mixture(spark):
@@ -50,7 +57,8 @@ def test_mixture(spark):
             whole[x.doc_id][x.start] = x.length
     assert sum(whole[2004].values()) >= 20_000 - mixing.BLOCK or used
     again = mixing.mixture(spark, docs.repartition(7), targets).collect()
-    assert {(r.shard, r.slot, r.source, r.block) for r in again} == {(r.shard, r.slot, r.source, r.block) for r in got}
+    assert {(r.shard, r.slot, r.source, r.block, bytes(r.ids)) for r in again} == {(r.shard, r.slot, r.source, r.block, bytes(r.ids)) for r in got}
+    assert all(len(r.ids) == 2 * r.tokens for r in got)
     report = {r.source: r for r in mixing.report(spark, docs, targets).collect()}
     assert report["none"].tokens == 0 and abs(sum(r.reached_share for r in report.values()) - 1) < 1e-9
     assert mixing.mixture(spark, spark.createDataFrame([], DOCS), targets).count() == 0
@@ -61,8 +69,18 @@ def test_blocks_hold_every_token(spark, data):
     docs = read_table(spark, data, "documents").where("text is not null and source is not null")
     made, totals = mixing.blocks(docs, f"{mixing.TOKENIZERS}/{mixing.TOKENIZER}")
     per = {r.source: r for r in totals.collect()}
-    seen, blocks = Counter(), Counter()
+    seen, blocks, parts = Counter(), Counter(), defaultdict(dict)
     for r in made.collect():
         seen[r.source] += r.tokens
         blocks[r.source] += 1
+        ids, at = np.frombuffer(r.ids, "<u2").tolist(), 0
+        for x in r.spans:
+            parts[x.doc_id][x.start] = ids[at : at + x.length]
+            at += x.length
+        assert at == len(ids) == r.tokens
     assert seen == {s: r.tokens for s, r in per.items()} and blocks == {s: r.blocks for s, r in per.items()}
+    # documents come back from their blocks as they were
+    made, end = mixing._tokenizer(f"{mixing.TOKENIZERS}/{mixing.TOKENIZER}")
+    for r in docs.where("text != ''").collect():
+        ids = [t for _, part in sorted(parts[r.doc_id].items()) for t in part]
+        assert ids.pop() == end and made.decode(ids) == r.text
