@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fixed_rows, shared_dir
 from . import common as C
+from .mixing import hypergeometric
 
 #: Share of all rows with a category that a sample has.
 RATE = 0.2
 #: Categories that targets may name, which bounds what the driver keeps.
 CATEGORIES = 10_000
+#: Folder of the registry inside the shared one.
+REGISTRY = "frameloom-registry"
 
 
 def uniform(seed: str, *c: Column) -> Column:
@@ -78,18 +84,22 @@ def composition(rows: DataFrame, targets: DataFrame, rate: float = RATE, seed: s
     by = {g[0]: sum(n for s, n in there.items() if s[0] == g[0]) for g in goals}
     floors = {g[0]: min(g[3], by[g[0]]) for g in goals}
     wanted = {g[0]: g[2] * rate * total for g in goals}
-    # a random start that satisfies the floors: the floors first, the rest of the sample in proportion to what is left
-    left = {s: n for s, n in there.items()}
-    start = {s: 0 for s in there}
+    # a random sample that satisfies the floors: of each category its floor is drawn, the rest of the sample from all rows that are left
+    random = np.random.default_rng([ord(x) for x in seed])
+    left = dict(there)
+    start = dict.fromkeys(there, 0)
+
+    def draw(pool: list[tuple], n: int) -> None:
+        rest = sum(left[s] for s in pool)
+        n = max(0, min(n, rest))
+        for s in pool:
+            rest -= left[s]
+            got = hypergeometric(random, left[s], rest, n)
+            start[s], left[s], n = start[s] + got, left[s] - got, n - got
+
     for c, floor in floors.items():
-        rest = floor
-        for s in sorted((s for s in there if s[0] == c), key=lambda s: hashlib.sha1(f"{seed}:{s}".encode()).hexdigest()):
-            part = min(rest, left[s])
-            start[s], left[s], rest = start[s] + part, left[s] - part, rest - part
-    rest, pool = max(0, min(size - sum(start.values()), sum(left.values()))), sum(left.values())
-    for s in sorted(left, key=lambda s: (-left[s], str(s))):
-        part = min(left[s], math.ceil(left[s] * rest / pool) if pool else 0, max(0, size - sum(start.values())))
-        start[s] += part
+        draw(sorted(s for s in there if s[0] == c), floor)
+    draw(sorted(there), size - sum(start.values()))
     return marked, repair(start, there, wanted, floors), there, [(*g, wanted[g[0]], by[g[0]], floors[g[0]]) for g in goals]
 
 
@@ -97,31 +107,42 @@ def sample(spark: SparkSession, rows: DataFrame, targets: DataFrame, rate: float
     """(sample_key, dataset): a random sample whose categories follow the targets, with min_rows of each where it has them.
 
     Rows without dataset, or of one without target, aren't drawn. Of each signature the rows with the least hashes are taken: hashes are
-    compared with a threshold from a histogram of fixed size, and only the one bin that the threshold cuts is ordered.
+    compared with a threshold from histograms of fixed size, and only the one of 2^24 bins that the threshold cuts is ordered.
     """
     marked, wanted, _, goals = composition(rows, targets, rate, seed)
     bins = 1 << 12
-    drawn = marked.where(F.col("c").isin([g[0] for g in goals])).withColumn("u", uniform(seed, F.col("sample_key"))).withColumn("bin", F.floor(F.col("u") * bins).cast("int"))
-    ends: dict[tuple, tuple[int, int]] = {}
-    level = {s: 0 for s in wanted}
-    for r in drawn.groupBy("c", "s", "bin").agg(F.count(F.lit(1)).alias("n")).orderBy("c", "s", "bin").toLocalIterator():
-        s = (r["c"], r["s"])
-        if s in ends or s not in wanted:
-            continue
-        if level[s] + r["n"] >= wanted[s]:
-            ends[s] = (r["bin"], wanted[s] - level[s])
-        level[s] += r["n"]
-    table = spark.createDataFrame([(*s, b, k) for s, (b, k) in ends.items()] or [("", "", -1, 0)], "c string, s string, last int, k int")  # as many rows as signatures
-    met = drawn.join(F.broadcast(table), ["c", "s"])
-    cut = met.where("bin = last").withColumn("r", F.row_number().over(Window.partitionBy("c", "s").orderBy("u", "sample_key"))).where("r <= k").drop("r")
+    drawn = marked.where(F.col("c").isin([g[0] for g in goals])).withColumn("u", uniform(seed, F.col("sample_key")))
+    rest, parts = drawn.withColumn("x", F.col("u")), []
+    left = dict(wanted)
+    for _ in range(2):
+        # all of the bins below the threshold are taken; the one that it cuts is divided again
+        rest = rest.withColumn("bin", F.least(F.floor(F.col("x") * bins), F.lit(bins - 1)).cast("int"))
+        ends: dict[tuple, tuple[int, int]] = {}
+        level = dict.fromkeys(left, 0)
+        for r in rest.groupBy("c", "s", "bin").agg(F.count(F.lit(1)).alias("n")).orderBy("c", "s", "bin").toLocalIterator():
+            s = (r["c"], r["s"])
+            if s in ends or s not in left:
+                continue
+            if level[s] + r["n"] >= left[s]:
+                ends[s] = (r["bin"], left[s] - level[s])
+            level[s] += r["n"]
+        table = spark.createDataFrame([(*s, b, k) for s, (b, k) in ends.items()] or [("", "", -1, 0)], "c string, s string, last int, k int")  # as many rows as signatures
+        met = rest.join(F.broadcast(table), ["c", "s"])
+        parts.append(met.where("bin < last").select("sample_key", "c"))
+        rest = met.where("bin = last").withColumn("x", F.col("x") * bins - F.col("bin")).drop("bin", "last", "k")
+        left = {s: k for s, (_, k) in ends.items()}
+    cut = met.where("bin = last").withColumn("r", F.row_number().over(Window.partitionBy("c", "s").orderBy("u", "sample_key"))).where("r <= k")
+    taken = parts[0].unionByName(parts[1]).unionByName(cut.select("sample_key", "c"))
     names = spark.createDataFrame([(g[0], g[1]) for g in goals] or [("", "")], "c string, dataset string")
-    return met.where("bin < last").unionByName(cut).join(F.broadcast(names), "c").select("sample_key", "dataset")
+    return taken.join(F.broadcast(names), "c").select("sample_key", "dataset")
 
 
 def report(spark: SparkSession, rows: DataFrame, targets: DataFrame, rate: float = RATE) -> DataFrame:
     """(dataset, target_rows, available, sampled, floor, reachable): what each target wants and gets."""
     _, wanted, _, goals = composition(rows, targets, rate)
-    made = [(name, float(goal), int(n), int(sum(k for s, k in wanted.items() if s[0] == c)), int(floor), bool(n >= goal - 1e-9)) for c, name, _, _, goal, n, floor in goals]
+    got = {g[0]: sum(k for s, k in wanted.items() if s[0] == g[0]) for g in goals}
+    # a target is out of reach if the repaired sample is short of it and no more rows are there
+    made = [(name, float(goal), int(n), int(got[c]), int(floor), not (got[c] < goal - 1e-9 and n < goal - 1e-9)) for c, name, _, _, goal, n, floor in goals]
     return spark.createDataFrame(made, "dataset string, target_rows double, available long, sampled long, floor long, reachable boolean")
 
 
@@ -137,19 +158,63 @@ class Registry:
     """Permanent random numbers: each identifier has a uniform value, written when it is first seen and never changed.
 
     The table lies in a folder that all executors share, one part for each insert, so an insert only appends. What earlier runs committed there
-    counts: their identifiers keep their values, whatever the seed now, and the threshold never falls below theirs. One run at a time may insert.
+    counts: their identifiers keep their values, whatever the seed now, and the threshold never falls below theirs. Runs at the same time take turns: an
+    insert holds a file that only one of them can create, and sees what the others have committed. A file older than LEASE seconds is of a run that
+    failed; PATIENCE seconds are waited for others.
     """
 
+    LEASE, PATIENCE = 6 * 3600, 3 * 3600
+
     SCHEMA = "id string, u double"
     THRESHOLDS = "threshold double"
 
     def __init__(self, spark: SparkSession, path: str, seed: str = "stable-1"):
         self.spark, self.path, self.seed = spark, path, seed
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Takes up what is committed."""
+        spark, path = self.spark, self.path
         there = self._names(path)
         self.parts = sorted(int(n[5:]) for n in there if n[:5] == "part=" and n[5:].isdigit() and "_SUCCESS" in self._names(f"{path}/{n}"))
         stored = spark.read.schema(self.THRESHOLDS).parquet(f"{path}/thresholds").agg(F.max("threshold")).first()[0] if "thresholds" in there else None
         self.threshold = stored or 0.0
 
+    @contextmanager
+    def turn(self) -> Iterator[None]:
+        """The right to write, held by one run at a time; what others have committed is taken up."""
+        jvm, token = self.spark.sparkContext._jvm, uuid.uuid4().hex
+        lock = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_turn")
+        files = lock.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        end = time.time() + self.PATIENCE
+        while True:
+            try:
+                out = files.create(lock, False)
+                out.writeBytes(token)
+                out.close()
+                held = files.open(lock)
+                mine = jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8") == token
+                held.close()
+                if mine:
+                    break
+            except Exception as e:
+                if "Exist" not in str(e) and "lease" not in str(e).lower():
+                    raise
+            if time.time() > end:
+                raise TimeoutError(f"another run holds {lock.toString()}")
+            try:
+                if time.time() - files.getFileStatus(lock).getModificationTime() / 1000 > self.LEASE:
+                    files.delete(lock, False)
+            except Exception as e:  # released meanwhile
+                if "NotFound" not in str(e):
+                    raise
+            time.sleep(0.5)
+        try:
+            self.refresh()
+            yield
+        finally:
+            files.delete(lock, False)
+
     def _names(self, path: str) -> list[str]:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         files = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -161,19 +226,21 @@ class Registry:
 
     def insert(self, identifiers: DataFrame) -> None:
         """Gives a value to those of the identifiers (column id) that have none yet; nulls get none."""
-        new = identifiers.select("id").where("id is not null").distinct()
-        if self.parts:
-            new = new.join(self.table(), "id", "left_anti")
-        k = self.parts[-1] + 1 if self.parts else 0
-        # the mark shows that a part is complete; one without it is what a failed run left, and is replaced
-        new.select("id", uniform(self.seed, F.col("id")).alias("u")).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/part={k}")
-        self.parts.append(k)
+        with self.turn():
+            new = identifiers.select("id").where("id is not null").distinct()
+            if self.parts:
+                new = new.join(self.table(), "id", "left_anti")
+            k = self.parts[-1] + 1 if self.parts else 0
+            # the mark shows that a part is complete; one without it is what a failed run left, and is replaced
+            new.select("id", uniform(self.seed, F.col("id")).alias("u")).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/part={k}")
+            self.parts.append(k)
 
     def admit(self, rate: float) -> float:
         """The threshold, raised to rate and stored if that is larger."""
-        if rate > self.threshold:
-            self.spark.createDataFrame([(float(rate),)], self.THRESHOLDS).coalesce(1).write.mode("append").parquet(f"{self.path}/thresholds")
-            self.threshold = float(rate)
+        with self.turn():
+            if rate > self.threshold:
+                self.spark.createDataFrame([(float(rate),)], self.THRESHOLDS).coalesce(1).write.mode("append").parquet(f"{self.path}/thresholds")
+                self.threshold = float(rate)
         return self.threshold
 
 
@@ -183,12 +250,12 @@ def stable(spark: SparkSession, rows: DataFrame, rates: tuple[float, ...] = (0.1
     Batches come in as many portions as rates has, in the order of batch_no; with each the registry gets the identifiers that are new. The threshold is
     the largest rate so far, in this and all earlier runs on the same path, so it never falls, and what was selected stays selected. Identifiers are compared without case, separators,
     padding and surrounding spaces, so all deliveries of one share its fate; rows without identifier aren't selected, rows without batch
-    come with the first portion. path: an existing or new folder for the registry; by default a new one in the shared folder, which knows no
-    earlier run. seed: of the values of new identifiers.
+    come with the first portion. path: an existing or new folder for the registry; by default REGISTRY in the shared folder, so runs
+    with the same shared folder have one registry. seed: of the values of new identifiers.
     """
     base = rows.select("sample_key", "sample_id", F.coalesce("batch_no", F.lit(-1)).alias("batch_no"), C.canon_name(F.col("sample_id")).alias("id")).where("id is not null")
     ends = base.agg(F.min("batch_no"), F.max("batch_no")).first()
-    registry = Registry(spark, path or f"{shared_dir(spark)}/frameloom-registry-{uuid.uuid4().hex}", seed)
+    registry = Registry(spark, path or f"{shared_dir(spark).rstrip('/')}/{REGISTRY}", seed)
     k = len(rates)
     if ends[0] is None:
         return base.withColumn("u", F.lit(None).cast("double")).select("sample_key", "sample_id", "batch_no", "u")

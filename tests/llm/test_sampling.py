@@ -1,3 +1,6 @@
+import threading
+
+import pytest
 from collections import Counter
 
 from frameloom.llm import sampling
@@ -46,8 +49,8 @@ def test_repair_ends_near_goals():
 def test_stable_sample_grows(spark, tmp_path):
     rows = [(i, "d", None, (f"ID_{i % 900}", f" id-{i % 900}\n")[i % 2], i // 100, 0.5, None, "x") for i in range(1800)] + [(5000, "d", None, None, 1, None, None, None), (5001, "d", None, "late", None, None, None, None)]
     built = spark.createDataFrame(rows, BUILT)
-    early = {r.sample_key: r.u for r in sampling.stable(spark, built.where("batch_no < 9")).collect()}
-    late = {r.sample_key: r.u for r in sampling.stable(spark, built.repartition(9), (0.1, 0.05, 0.2)).collect()}
+    early = {r.sample_key: r.u for r in sampling.stable(spark, built.where("batch_no < 9"), path=str(tmp_path / "a")).collect()}
+    late = {r.sample_key: r.u for r in sampling.stable(spark, built.repartition(9), (0.1, 0.05, 0.2), str(tmp_path / "b")).collect()}
     assert set(early) <= set(late) and all(late[k] == u for k, u in early.items())
     assert 0.05 < len(early) / 900 < 0.16 and 0.14 < len(late) / 1800 < 0.27
     for i in range(900):
@@ -78,6 +81,27 @@ def test_registry_is_taken_up_again(spark, tmp_path):
     assert second.admit(0.3) == 0.3 == sampling.Registry(spark, path).admit(0.2)
 
 
+def test_registry_takes_turns(spark, tmp_path):
+    path = str(tmp_path / "r")
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    first, second = sampling.Registry(spark, path), sampling.Registry(spark, path, "another")
+    both = [threading.Thread(target=first.insert, args=(ids("a", "b"),)), threading.Thread(target=second.insert, args=(ids("b", "c"),))]
+    for t in both:
+        t.start()
+    for t in both:
+        t.join()
+    rows = sampling.Registry(spark, path).table().collect()
+    assert sorted(r.id for r in rows) == ["a", "b", "c"] and not (tmp_path / "r" / "_turn").exists()
+    (tmp_path / "r" / "_turn").write_text("held")
+    third = sampling.Registry(spark, path)
+    third.PATIENCE = 0.1
+    with pytest.raises(TimeoutError):
+        third.insert(ids("d"))
+    third.LEASE, third.PATIENCE = -1, 60  # its run has failed
+    third.insert(ids("d"))
+    assert sampling.Registry(spark, path).table().count() == 4
+
+
 def test_stable_over_runs(spark, tmp_path):
     path = str(tmp_path / "r")
     made = lambda n: spark.createDataFrame([(i, "d", None, f"id_{i}", i // 100, None, None, None) for i in range(n)], BUILT)
