@@ -3,8 +3,10 @@
 Method: texts are made canonical (case, punctuation, white space), hashed, and evaluation hashes are joined with training hashes. A hash of
 a whole text finds equal ones only, so nearly equal texts are found by more hashes of the same kind: a text within e word edits of
 another keeps at least one of any e + 1 of its disjoint word grams, hence each training text gives one more disjoint grams than edits are allowed,
-chosen so that few evaluation texts have them, and each evaluation text all its grams. Pairs that share a hash pass bounds on length,
-position and a sketch of their words before their word edit distance is computed exactly. No link is lost.
+chosen so that few evaluation texts have them, and each evaluation text all its grams. Pairs that share a hash pass bounds on length, position and a sketch of their words before their word edit distance is computed exactly. No link is lost.
+
+The result is links between classes of equal texts, with the rows of each class beside them; pairs of rows are made from those at the very end. Grams,
+identifiers and classes that very many rows share are spread over tasks.
 """
 
 from __future__ import annotations
@@ -25,8 +27,13 @@ EDITS, LEAST = 15, 12
 GRAM, SHORT = 5, 4
 #: Size of the table of gram counts, from which the rarest grams are chosen (a fixed bound: 4 MB). It never drops a gram.
 TABLE = 1 << 20
-#: Texts of at most so many words have their rarest disjoint grams chosen optimally, longer ones one of each of equal parts.
+#: Texts of at most so many words have their rarest disjoint grams chosen optimally, longer ones the rarest of each of equal parts, as the optimal
+#: choice takes time by the square of the words. Either choice finds all links.
 OPTIMAL = 256
+#: A gram's place and its text's words are one number: words * 2^PLACE + place.
+PLACE = 31
+#: Bytes that choosing grams takes at once.
+MEMORY = 64 << 20
 
 
 def allowed(n: int) -> int:
@@ -73,8 +80,9 @@ def texts(built: DataFrame, templates: DataFrame) -> DataFrame:
     part = C.canon_split(F.col("split"))
     of = built.select(F.col("sample_key").alias("key"), part.isin("val", "test").alias("side"), part.alias("part"), F.col("sample_id").alias("id"), F.col("row_json").alias("json")).where(F.col("part").isin("train", "val", "test"))
     said = C.parsed(of.select("key", "side", "json"), "json", "row", C.MESSAGES).select("key", "side", C.assistant_text(F.col("row")).alias("raw"))
-    other = templates.select(F.col("sample_id").alias("id"), F.col("source_text").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
-    named = of.select("key", "side", "id").join(other, "id").select("key", "side", "raw")
+    # each text of an identifier once; an identifier may have a third of all rows
+    other = templates.select(F.col("sample_id").alias("id"), F.col("source_text").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull()).distinct()
+    named = C.spread_join(of.select("key", "side", "id"), other, "id", C.hot_keys(of, "id").unionByName(C.hot_keys(other, "id"))).select("key", "side", "raw")
     w = C.words(F.col("raw"))
     made = said.unionByName(named).where(F.col("raw").isNotNull()).select("key", "side", w.alias("w")).where(F.size("w") >= LEAST).select("key", "side", F.array_join("w", " ").alias("text"))
     return made.withColumn("class", C.digest(F.col("text")))
@@ -104,8 +112,15 @@ def _rarest(matrix: np.ndarray, size: int, k: int) -> np.ndarray:
     return out
 
 
-def choose(counts: np.ndarray):
-    """A mapInArrow-like function for mapInPandas: (class, n, g, h4, a, b) to the rows of the gram index, rarest disjoint grams first."""
+def choose(counts: np.ndarray, optimal: int = OPTIMAL, memory: int = MEMORY):
+    """A function for mapInPandas: (class, n, g, h, a) to the rows of the gram index, rarest disjoint grams first."""
+
+    def picked(weight: np.ndarray, n: int, size: int, k: int) -> np.ndarray:
+        if n > optimal:
+            edges = np.linspace(0, n, k + 1).astype(int)
+            return np.stack([lo + weight[:, lo : hi - size + 1].argmin(axis=1) for lo, hi in zip(edges[:-1], edges[1:], strict=True)], axis=1)
+        step = max(1, memory // (9 * (k + 1) * (n + size)))
+        return np.concatenate([_rarest(weight[i : i + step], size, k) for i in range(0, len(weight), step)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -113,14 +128,9 @@ def choose(counts: np.ndarray):
             for n, part in pdf.groupby("n", sort=False):
                 for size, k in pieces(int(n)):
                     hashes = np.stack([np.asarray(x, np.int64) for x in part["g" if size == GRAM else "h"]])
-                    weight = counts[hashes & (TABLE - 1)].astype(float) + 1
-                    if n <= OPTIMAL:
-                        at = _rarest(weight, size, k)
-                    else:
-                        edges = np.linspace(0, n, k + 1).astype(int)
-                        at = np.stack([lo + weight[:, lo : hi - size + 1].argmin(axis=1) for lo, hi in zip(edges[:-1], edges[1:], strict=True)], axis=1)
+                    at = picked(counts[hashes & (TABLE - 1)].astype(float) + 1, int(n), size, k)
                     rows = np.arange(len(part)).repeat(k)
-                    out.append(pd.DataFrame({"class": part["class"].to_numpy()[rows], "n": np.full(len(rows), n, np.int32), "at": at.ravel().astype(np.int32), "gram": np.take_along_axis(hashes, at, axis=1).ravel(), "a": part["a"].to_numpy()[rows], "b": part["b"].to_numpy()[rows]}))
+                    out.append(pd.DataFrame({"train": part["class"].to_numpy()[rows], "tplace": (np.int64(n) << PLACE) + at.ravel(), "gram": np.take_along_axis(hashes, at, axis=1).ravel(), "ta": part["a"].to_numpy()[rows]}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
@@ -128,31 +138,36 @@ def choose(counts: np.ndarray):
 
 
 def edits_within(a: list[str], b: list[str], limit: int) -> bool:
-    """Whether so many insertions, removals and replacements of words turn a into b."""
-    while a and b and a[0] == b[0]:
-        lead = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-        a, b = a[lead:], b[lead:]
-    tail = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > limit:
+    """Whether so many insertions, removals and replacements of words turn a into b.
+
+    Bit-parallel: a column of the distances lies in two whole numbers of as many bits as a has words (Hyyrö, 2003).
+    """
+    if abs(len(a) - len(b)) > limit:
         return False
-    if not a:
-        return len(b) <= limit
-    big = limit + 1
-    row = [j if j <= limit else big for j in range(len(b) + 1)]
-    for i, x in enumerate(a, 1):
-        lo, hi = max(1, i - limit), min(len(b), i + limit)
-        new = [big] * (len(b) + 1)
-        if i <= limit:
-            new[0] = i
-        for j in range(lo, hi + 1):
-            new[j] = row[j - 1] if x == b[j - 1] else 1 + min(row[j - 1], row[j], new[j - 1])
-        if min(new[max(0, lo - 1) : hi + 1]) > limit:
+    if a == b:
+        return True
+    if not a or not b:
+        return len(a) + len(b) <= limit
+    where: dict[str, int] = {}
+    for i, w in enumerate(a):
+        where[w] = where.get(w, 0) | 1 << i
+    top, full = 1 << (len(a) - 1), (1 << len(a)) - 1
+    up, down, distance, rest = full, 0, len(a), len(b)
+    for w in b:
+        equal = where.get(w, 0)
+        vertical = equal | down
+        level = (((equal & up) + up) ^ up) | equal
+        more, less = down | (full & ~(level | up)), up & level
+        if more & top:
+            distance += 1
+        elif less & top:
+            distance -= 1
+        more, less = more << 1 | 1, less << 1
+        up, down = (less | ~(vertical | more)) & full, more & vertical & full
+        rest -= 1
+        if distance - rest > limit:
             return False
-        row = new
-    return row[-1] <= limit
+    return distance <= limit
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,36 +186,68 @@ def linked(classes: DataFrame) -> DataFrame:
     """
     base = classes.select("class", "train", "other", F.transform(F.split("text", " "), lambda w: F.xxhash64(w)).alias("w")).withColumn("n", F.size("w"))
     w, none = F.col("w"), F.array().cast("array<long>")
-    sketches = [sketch(w, 0).alias("a"), sketch(w, 17).alias("b")]
-    placed = lambda g: F.transform(g, lambda x, i: F.struct(i.alias("at"), x.alias("gram")))
+    mark = sketch(w, 0)
+    placed = lambda g: F.transform(g, lambda x, i: F.struct((F.shiftleft(F.col("n").cast("long"), PLACE) + i).alias("place"), x.alias("gram")))
     # inline_outer, as every text has grams: for inline Spark would compute them once more to filter empty ones
     # grams of SHORT words are told apart from the others by their hash alone: an equal hash by chance only adds a pair to check
     seen = base.where("other")
     both = F.concat(placed(grams(w, GRAM)), placed(F.when(F.col("n").isin(SHORT_LENGTHS), grams(w, SHORT)).otherwise(none)))
-    every = seen.select("class", "n", *sketches, both.alias("g")).select("class", "n", "a", "b", F.inline_outer("g"))
-    table = np.zeros(TABLE, np.int32)
-    for r in seen.select(F.inline_outer(both)).groupBy(F.col("gram").bitwiseAND(F.lit(TABLE - 1).cast("long")).cast("int").alias("k")).agg(F.count(F.lit(1)).cast("int").alias("n")).toLocalIterator():
+    every = seen.select(F.col("class").alias("other"), mark.alias("ea"), both.alias("g")).select("other", "ea", F.inline_outer("g")).withColumnRenamed("place", "eplace")
+    slot = F.col("gram").bitwiseAND(F.lit(TABLE - 1).cast("long")).cast("int")
+    table = np.zeros(TABLE, np.int64)
+    for r in seen.select(F.inline_outer(both)).groupBy(slot.alias("k")).agg(F.count(F.lit(1)).alias("n")).toLocalIterator():
         table[r["k"]] = r["n"]
     short = F.when((F.col("n") < 140) & ~F.col("n").isin([n for n in range(140) if len(pieces(n)) == 1]), grams(w, SHORT)).otherwise(none)
-    index = base.where("train").select("class", "n", grams(w, GRAM).alias("g"), short.alias("h"), *sketches).mapInPandas(choose(table), "class binary, n int, at int, gram long, a long, b long")
-    t, e = index.alias("t"), every.alias("e")
-    longer = F.greatest("t.n", "e.n")
-    limit = F.floor(longer * EDITS / 100)
-    differ = F.bit_count(F.col("t.a").bitwiseXOR(F.col("e.a"))), F.bit_count(F.col("t.b").bitwiseXOR(F.col("e.b")))
-    near = (F.abs(F.col("t.n") - F.col("e.n")) <= limit) & (F.abs(F.col("t.at") - F.col("e.at")) <= limit) & (differ[0] <= 2 * limit) & (differ[1] <= 2 * limit) & (F.col("t.class") != F.col("e.class"))
-    found = t.join(e, (F.col("t.gram") == F.col("e.gram")) & near).select(F.col("t.class").alias("train"), F.col("e.class").alias("other")).distinct()
+    index = stage(base.where("train").select("class", "n", grams(w, GRAM).alias("g"), short.alias("h"), mark.alias("a")).mapInPandas(choose(table), "train binary, tplace long, gram long, ta long"))
+    # a gram is hot if very many evaluation texts have it, which the table tells but for equal places, or very many training texts chose it
+    many = int(min(max(C.HOT_ROWS, C.HOT_SHARE * table.sum()), C.HOT_MOST))
+    hot = C.hot_keys(index, "gram").select("gram")
+    if len(heavy := np.flatnonzero(table >= many)):
+        hot = hot.unionByName(seen.select(F.inline_outer(both)).where(slot.isin(heavy.tolist())).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= many).select("gram"))
+    hot = stage(hot.distinct())
+    # rows of a hot gram are spread over cells, which stand for it in its place; that an equal number may come about by chance only adds a pair to check
+    few = F.broadcast(hot.withColumn("hot", F.lit(True)))
+
+    def spread(df: DataFrame, own: str, mine: bool) -> DataFrame:
+        cell = F.pmod(F.xxhash64(own), F.lit(C.CELLS))
+        key = lambda i: F.xxhash64("gram", *((cell, i) if mine else (i, cell)))
+        keys = F.when(F.col("hot"), F.transform(F.sequence(F.lit(0).cast("long"), F.lit(C.CELLS - 1).cast("long")), key)).otherwise(F.array("gram"))
+        return df.join(few, "gram", "left").withColumn("key", F.explode(keys)).drop("gram", "hot")
+
+    if hot.isEmpty():
+        met = index.join(every, "gram")
+    else:
+        met = spread(index, "train", True).join(spread(every, "other", False), "key")
+    words = lambda c: F.shiftright(c, PLACE)
+    place = lambda c: F.col(c).bitwiseAND(F.lit((1 << PLACE) - 1))
+    limit = F.floor(F.greatest(words("tplace"), words("eplace")) * EDITS / 100)
+    near = (F.abs(words("tplace") - words("eplace")) <= limit) & (F.abs(place("tplace") - place("eplace")) <= limit) & (F.bit_count(F.col("ta").bitwiseXOR(F.col("ea"))) <= 2 * limit) & (F.col("train") != F.col("other"))
+    found = stage(met.where(near).select("train", "other").distinct())
+    # a class may be near very many others
     left = classes.where("train").select(F.col("class").alias("train"), F.col("text").alias("l"))
     right = classes.where("other").select(F.col("class").alias("other"), F.col("text").alias("r"))
-    checked = found.join(left, "train").join(right, "other").select("train", "other", "l", "r").mapInPandas(_verify, "train binary, other binary")
+    both_texts = C.lookup(C.lookup(found, left, "train", C.hot_keys(found, "train")), right, "other", C.hot_keys(found, "other"))
+    checked = both_texts.select("train", "other", "l", "r").mapInPandas(_verify, "train binary, other binary")
     same = classes.where(F.col("train") & F.col("other")).select(F.col("class").alias("train"), F.col("class").alias("other"))
     return checked.unionByName(same)
 
 
 def prepare(built: DataFrame, templates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Texts (staged) and the linked classes (staged)."""
+    """(key, side, class): each sample's texts, and the linked classes (train, other); both written."""
     said = stage(texts(built, templates))
     flags = [F.first("text").alias("text"), F.max(~F.col("side")).alias("train"), F.max("side").alias("other")]
-    return said, stage(linked(stage(said.groupBy("class").agg(*flags))))
+    links = stage(linked(stage(said.groupBy("class").agg(*flags))))
+    return said.select("key", "side", "class").distinct(), links
+
+
+def class_links(built: DataFrame, templates: DataFrame) -> DataFrame:
+    """(train_class, other_class, train_rows, other_rows): linked classes of equal texts, each named by its least sample_key on that side, with its rows there."""
+    members, links = prepare(built, templates)
+    about = stage(members.groupBy("class", "side").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows")))
+    mine = about.where(~F.col("side")).select(F.col("class").alias("train"), F.col("first").alias("train_class"), F.col("rows").alias("train_rows"))
+    theirs = about.where("side").select(F.col("class").alias("other"), F.col("first").alias("other_class"), F.col("rows").alias("other_rows"))
+    met = C.lookup(C.lookup(links, mine, "train", C.hot_keys(links, "train")), theirs, "other", C.hot_keys(links, "other"))
+    return met.select("train_class", "other_class", "train_rows", "other_rows")
 
 
 def pairs(built: DataFrame, templates: DataFrame) -> DataFrame:
@@ -209,12 +256,13 @@ def pairs(built: DataFrame, templates: DataFrame) -> DataFrame:
     Rows without split, text or enough words give none; a sample has no pair with itself. Of n equal training texts and m equal
     evaluation texts all n times m pairs come out, as the result is defined so; they are expanded from the links of classes at the very end.
     """
-    said, links = prepare(built, templates)
-    members = said.select("key", "side", "class").distinct()
+    members, links = prepare(built, templates)
     mine = members.where(~F.col("side")).select(F.col("class").alias("train"), F.col("key").alias("k"))
     theirs = members.where("side").select(F.col("class").alias("other"), F.col("key").alias("v"))
-    both = links.join(mine, "train").join(theirs, "other").select(F.least("k", "v").alias("left_key"), F.greatest("k", "v").alias("right_key"))
-    return both.where("left_key != right_key").distinct()
+    half = C.spread_join(links, mine, "train", C.hot_keys(mine, "train").unionByName(C.hot_keys(links, "train")))
+    both = C.spread_join(half, theirs, "other", C.hot_keys(theirs, "other").unionByName(C.hot_keys(links, "other")))
+    made = both.select(F.least("k", "v").alias("left_key"), F.greatest("k", "v").alias("right_key"))
+    return made.where("left_key != right_key").distinct()
 
 
 def report(built: DataFrame, templates: DataFrame) -> DataFrame:
@@ -222,8 +270,9 @@ def report(built: DataFrame, templates: DataFrame) -> DataFrame:
 
     Spellings of split and dataset are canonical; samples without dataset are counted under an empty name.
     """
-    said, links = prepare(built, templates)
-    hit = said.where("side").select("key", F.col("class").alias("other")).join(links.select("other").distinct(), "other").select("key").distinct().withColumn("hit", F.lit(1))
+    members, links = prepare(built, templates)
+    seen = members.where("side").select("key", F.col("class").alias("other"))
+    hit = C.lookup(seen, links.select("other").distinct(), "other", C.hot_keys(seen, "other")).select("key").distinct().withColumn("hit", F.lit(1))
     part = C.canon_split(F.col("split"))
     rows = built.select(F.col("sample_key").alias("key"), part.alias("split"), F.coalesce(C.canon_name(F.col("dataset")), F.lit("")).alias("dataset")).where(F.col("split").isin("val", "test"))
     return rows.join(hit, "key", "left").groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("samples"), F.count("hit").alias("overlapping"))

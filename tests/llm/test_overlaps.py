@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from frameloom.llm import common as C
 from frameloom.llm import overlaps
 from frameloom.session import read_table
 
@@ -54,6 +55,19 @@ def test_rarest_is_optimal():
         assert sum(row[places]) == best and (places[1:] - places[:-1] >= 5).all()
 
 
+def test_choice_of_grams():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    counts = np.ones(overlaps.TABLE, np.int64)
+    rows = pd.DataFrame({"class": [b"%d" % i for i in range(40)], "n": [60] * 40, "g": [rng.integers(0, 400, 56) for _ in range(40)], "h": [rng.integers(0, 400, 57) for _ in range(40)], "a": [0] * 40})
+    frames = [pd.concat(overlaps.choose(counts, *how)([rows])).reset_index(drop=True) for how in ((256, 64 << 20), (256, 1), (10, 64 << 20))]
+    assert frames[0].equals(frames[1])  # a bound on memory changes nothing
+    for f in frames:  # places don't overlap
+        assert all((np.diff(sorted(p["tplace"] & ((1 << overlaps.PLACE) - 1))) >= 4).all() for _, p in f.groupby("train"))
+
+
 def test_cases(spark):
     base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     near = base.replace("three", "tree").replace("nine", "")  # 2 edits of 14 words: 14 per cent
@@ -79,14 +93,21 @@ def test_cases(spark):
     assert got == [(1, 2), (1, 3), (1, 8), (2, 12), (3, 12), (8, 12), (10, 11)]
     counts = {(r.split, r.dataset): (r.samples, r.overlapping) for r in overlaps.report(built, templates).collect()}
     assert counts == {("val", "d3"): (3, 2), ("test", "d3"): (3, 2)}
+    links = sorted(tuple(r) for r in overlaps.class_links(built, templates).collect())
+    assert links == [(1, 2, 2, 2), (1, 3, 2, 1), (10, 11, 1, 1)]
 
 
 def test_empty_tables(spark):
     assert overlaps.pairs(spark.createDataFrame([], BUILT), spark.createDataFrame([], TEMPLATES)).count() == 0
 
 
-def test_loses_no_link(spark):
-    """Random texts from few words, so that grams are shared everywhere, with random edits up to and above the limit."""
+@pytest.mark.parametrize("hot", [False, True])
+def test_loses_no_link(spark, monkeypatch, hot):
+    """Random texts from few words, so that grams are shared everywhere, with random edits up to and above the limit; with and without spreading."""
+    if hot:
+        monkeypatch.setattr(C, "HOT_ROWS", 3)
+        monkeypatch.setattr(C, "HOT_MOST", 3)
+        monkeypatch.setattr(C.hot_keys, "__defaults__", (C.HOT_SHARE, 3))
     random.seed(3)
     vocabulary = [f"v{i}" for i in range(12)]
     train = [[random.choice(vocabulary) for _ in range(random.randint(12, 44))] for _ in range(60)]
