@@ -30,13 +30,15 @@ def splits_hold(spark: SparkSession, built: DataFrame, targets: DataFrame) -> Da
 def sample_holds(spark: SparkSession, rows: DataFrame, targets: DataFrame) -> DataFrame:
     """(dataset, available, floor, reachable, drawn_once, floor_kept, goal_kept): of each target what there is, and whether the sample keeps to it.
 
-    goal_kept: a target within reach is met, or missed by less than a row.
+    goal_kept: a target within reach is met, or missed by less than a row, unless the floors of other targets leave too few rows for all.
     """
     drawn = stage(sampling.sample(spark, rows, targets))
     got = drawn.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sample_key").alias("k"))
     n, k = F.coalesce("n", F.lit(0)), F.coalesce("k", F.lit(0))
-    met = sampling.report(spark, rows, targets).join(got, "dataset", "left")
-    goal = F.when(F.col("reachable"), n > F.col("target_rows") - 1).otherwise(n == F.col("available"))
+    wanted = sampling.report(spark, rows, targets)
+    need = wanted.agg(F.sum(F.greatest("floor", F.least("target_rows", "available")))).first()[0] or 0
+    met = wanted.join(got, "dataset", "left")
+    goal = F.lit(need > drawn.count()) | F.when(F.col("reachable"), n > F.col("target_rows") - 1).otherwise(n == F.col("available"))
     return met.select("dataset", "available", "floor", "reachable", (n == k).alias("drawn_once"), (n >= F.col("floor")).alias("floor_kept"), goal.alias("goal_kept"))
 
 
@@ -51,7 +53,8 @@ def mix_holds(spark: SparkSession, documents: DataFrame, targets: DataFrame) ->
     reached = mixing.report(spark, documents, targets).select("source", "target_share", "reached_share", "max_repeats")
     met = reached.join(per, "source", "left")
     most = F.coalesce("most", F.lit(0))
-    kept = (F.col("reached_share") >= F.col("target_share") - NEAR) | (F.coalesce("least", F.lit(0)) >= F.col("max_repeats")) | (most == 0)
+    near = NEAR + 2 / max(1, mixed.count())  # a block more or less, and a shorter last one
+    kept = (F.col("reached_share") >= F.col("target_share") - near) | (F.coalesce("least", F.lit(0)) >= F.col("max_repeats")) | (most == 0)
     return met.select("source", "max_repeats", (most <= F.col("max_repeats")).alias("within_cap"), F.coalesce("good", F.lit(True)).alias("whole_blocks"), kept.alias("share_kept"))
 
 
