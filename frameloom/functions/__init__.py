@@ -1,7 +1,7 @@
 """Pure Column builders; none needs Python at run time."""
 
 from .geometry import crop_side, parse_box, square_crop
-from .hashing import bundle_path, hash_fraction, python_float, safe_basename, sha1_prefix, sha1_seed, split_for_group, template_id
+from .hashing import bundle_path, hash_fraction, normal_path, python_float, safe_basename, sha1_prefix, sha1_seed, split_for_group, template_id
 from .sequences import active_keys, even_positions, even_sample, even_values, let, prefix_endpoint, prefix_sample
 from .text import (
     count_of,

@@ -57,6 +57,16 @@ def safe_basename(name: Column) -> Column:
     return F.coalesce(F.nullif(clean, F.lit("")), F.lit("media.bin"))
 
 
+def normal_path(path: Column) -> Column:
+    """An absolute path without empty and . steps, each .. taken back with the step before it; links aren't followed."""
+    steps = F.aggregate(
+        F.split(path, "/"),
+        F.array().cast("array<string>"),
+        lambda a, x: F.when(x.isin("", "."), a).when(x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(x))),
+    )
+    return F.concat(F.lit("/"), F.array_join(steps, "/"))
+
+
 def bundle_path(source: Column, name: Column | None = None) -> Column:
     """Where a media file lies in a bundle: two folder levels and a name from the digest of its source path."""
     digest = F.sha2(source, 256)

@@ -41,7 +41,7 @@ def word_count(c: Column) -> Column:
 
 def sentence_count(c: Column) -> Column:
     """Parts between stops that white space or the end follows, blank ones left out; 1 at least unless the text is blank."""
-    parts = F.filter(F.split(strip(c), r"[.!?]+(?:\s+|$)"), lambda p: p.rlike(r"(?U)\S"))
+    parts = F.filter(F.split(strip(c), r"(?U)[.!?]+(?:\s+|$)"), lambda p: p.rlike(r"(?U)\S"))
     return F.when(strip(c) == "", 0).otherwise(F.greatest(F.lit(1), F.size(parts)))
 
 

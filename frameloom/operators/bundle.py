@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bundle_path, gib
-from ..session import small
+from ..functions import bundle_path, gib, normal_path
+from ..session import ship, small
 from .quality import media_of
 
 #: Fields of a row that hold media.
@@ -72,6 +72,7 @@ def line_references(df: DataFrame, key: str, line: str) -> DataFrame:
                 moved_line(text, lambda p, k=k: found.append((k, p)) or p, str(k))
             yield pd.DataFrame(found, columns=[key, "path"])
 
+    ship(df.sparkSession)
     return df.select(key, line).mapInPandas(run, f"{key} {dict(df.dtypes)[key]}, path string")
 
 
@@ -85,15 +86,16 @@ def lines_moved(df: DataFrame, line: str, moves: str | None = None, root: str |
             made = [moved_line(t, table.__getitem__ if moves else lambda p: p if p.startswith("/") else base + p) for t, table in zip(pdf[line], tables, strict=True)]
             yield pdf.assign(**{line: pd.Series(made, index=pdf.index, dtype=object)})
 
+    ship(df.sparkSession)
     return df.mapInPandas(run, df.schema)
 
 
 def resolved(paths: DataFrame, files: DataFrame, folders: list[Column], path: str = "path") -> DataFrame:
     """paths with source: the first file that exists among the path itself (if absolute) and the path below each folder, in order; null if none.
 
-    files: (path) of what exists. One join serves all candidates.
+    files: (path) of what exists. One join serves all candidates. Steps such as .. and . are taken out first, so a file has one source.
     """
-    tries = [F.when(F.col(path).startswith("/"), F.col(path))] + [F.when(~F.col(path).startswith("/"), F.concat_ws("/", F.regexp_replace(f, "/+$", ""), F.col(path))) for f in folders]
+    tries = [F.when(F.col(path).startswith("/"), normal_path(F.col(path)))] + [F.when(~F.col(path).startswith("/"), normal_path(F.concat_ws("/", F.regexp_replace(f, "/+$", ""), F.col(path)))) for f in folders]
     wanted = paths.select(path, *[t.alias(f"__t{i}") for i, t in enumerate(tries)]).distinct()
     each = wanted.select("*", F.posexplode(F.array(*[F.col(f"__t{i}") for i in range(len(tries))])).alias("__i", "__c")).where("__c is not null")
     there = each.join(files.select(F.col("path").alias("__c")).distinct(), "__c").groupBy(path, *[f"__t{i}" for i in range(len(tries))]).agg(F.min_by("__c", "__i").alias("source"))
@@ -223,4 +225,5 @@ def publish(entries: DataFrame, root: str, mode: str = "copy", checksum: bool =
             sizes = [os.path.getsize(os.path.join(root, b)) for b in pdf["bundle_path"]]
             yield pdf[["source_path", "bundle_path"]].assign(size_bytes=sizes, reference_count=pdf["reference_count"], sha256=pd.Series(sums, dtype=object, index=pdf.index), action=done)
 
+    ship(entries.sparkSession)
     return entries.mapInPandas(run, "source_path string, bundle_path string, size_bytes long, reference_count long, sha256 string, action string")

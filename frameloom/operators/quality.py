@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,7 +113,8 @@ def check_report(rows: DataFrame, file: str, line: str, max_errors: int = 20) ->
 
     All rows are counted; only the list is capped. A row's errors are joined by " | " after its line number.
     """
-    counts = rows.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), F.count("images").alias("image_rows"), F.count("videos").alias("video_rows"), F.count_if(F.size("errors") > 0).alias("error_rows"))
+    sounds = [F.count("audios").alias("audio_rows")] if "audios" in rows.columns else []
+    counts = rows.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), F.count("images").alias("image_rows"), F.count("videos").alias("video_rows"), *sounds, F.count_if(F.size("errors") > 0).alias("error_rows"))
     faulty = rows.where(F.size("errors") > 0).select(F.col(file), F.col(line).alias("l"), F.concat(F.col(line).cast("string"), F.lit(": "), F.array_join("errors", " | ")).alias("text"))
     first = top_by_group(faulty, [file], [F.col("l")], max_errors)
     lists = first.groupBy(file).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: x["text"]).alias("errors"))  # capped
@@ -169,10 +172,26 @@ def greedy_match(candidate: Column, reference: Column) -> Column:
     return let(table, scores)
 
 
+def embedder(spec: str, **options) -> Callable[[Column], Column]:
+    """A provider of token vectors from module:function, called with a list of texts and the options, in Arrow batches where the rows are.
+
+    The function gives a list of vectors (lists of numbers) for each text.
+    """
+    module, name = spec.split(":")
+
+    @F.pandas_udf("array<array<float>>")
+    def embed(texts: pd.Series) -> pd.Series:
+        made = getattr(importlib.import_module(module), name)(texts.fillna("").tolist(), **options)
+        return pd.Series([[list(map(float, v)) for v in vectors] for vectors in made])
+
+    return embed
+
+
 def scored(pairs: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
     """pairs with bertscore_p, bertscore_r and bertscore_f1 from any provider of token vectors (text column to array<array<float>>)."""
-    s = greedy_match(embed(F.col("prediction")), embed(F.col("reference")))
-    return pairs.withColumn("__s", s).withColumns({f"bertscore_{k}": F.col(f"__s.{k}") for k in ("p", "r", "f1")}).drop("__s")
+    held = pairs.withColumn("__p", embed(F.col("prediction"))).withColumn("__r", embed(F.col("reference")))
+    made = held.withColumn("__s", greedy_match(F.col("__p"), F.col("__r"))).drop("__p", "__r")
+    return made.withColumns({f"bertscore_{k}": F.col(f"__s.{k}") for k in ("p", "r", "f1")}).drop("__s")
 
 
 def next_turn(df: DataFrame, group: str, order: str, role: str, text: str) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..operators import assemble, bundle, infer, quality, sampling
-from ..session import read_table, shared_dir, stage
+from ..session import read_table, scratch, stage
 from ..sources import schemas, sinks
 from ..streaming import run_available
+from . import trees
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,11 +125,6 @@ def bbox_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def square_crop(spark: SparkSession, sf: str) -> DataFrame:
-    """The part of square_crop_whole whose scale is 3, as its SQL has it."""
-    return _crops(read_table(spark, sf, "template_records").where("context_scale = 3.0"))
-
-
-def square_crop_whole(spark: SparkSession, sf: str) -> DataFrame:
     """The crops of all records that have a box, a size and a scale, each by its own scale."""
     return _crops(read_table(spark, sf, "template_records").where("context_scale is not null"))
 
@@ -194,7 +190,7 @@ def placeholder_check(spark: SparkSession, sf: str) -> DataFrame:
     return parsed_samples(spark, sf).select("sample_key", X.count_of(user, "<image>").alias("image_marks"), n("images").alias("images"), X.count_of(user, "<video>").alias("video_marks"), n("videos").alias("videos"))
 
 
-def check_report(spark: SparkSession, sf: str) -> DataFrame:
+def check_report_of_broken_rows(spark: SparkSession, sf: str) -> DataFrame:
     # as the tables hold no faulty rows, some lose their answer, media or first message here
     rows = parsed_samples(spark, sf).withColumn("file", F.coalesce(F.trim("dataset"), F.lit("none")))
     k = F.col("sample_key")
@@ -209,11 +205,6 @@ def _faulty(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
 
 
 def check_errors(spark: SparkSession, sf: str) -> DataFrame:
-    """The part of check_errors_whole whose dataset is spelled d3, as its SQL has it."""
-    return _faulty(spark, sf, parsed_samples(spark, sf).where(F.lower(F.trim("dataset")) == "d3"))
-
-
-def check_errors_whole(spark: SparkSession, sf: str) -> DataFrame:
     """(sample_key, errors): the faulty samples of all datasets, however spelled or missing. Media that the manifest doesn't list are missing."""
     return _faulty(spark, sf, parsed_samples(spark, sf))
 
@@ -372,7 +363,7 @@ def exact_shuffle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
-    base = f"{shared_dir(spark)}/frameloom-stream-{uuid.uuid4().hex}"
+    base = scratch(spark, f"stream-{uuid.uuid4().hex}")
     source = f"{base}/source"
     events = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     count = lambda df: df.where("value > 1").withColumn("split", X.split_for_group(F.col("user_id")))
@@ -385,12 +376,12 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
 
 NAMES = (
     "hash_split hash_fractions group_split_leakage distinct_pairs annotation_join seeded_topk quota_by_source limit_then_filter filter_after_rank unique_first_topk "
-    "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop square_crop_whole template_ids natural_sort path_parts frame_names "
-    "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report check_errors check_errors_whole format_check format_measures format_summary "
+    "round_robin round_robin_kept even_sample prefix_groups window_variants active_keys unnest_map bbox_parse square_crop  template_ids natural_sort path_parts frame_names "
+    "build_messages sample_metadata union_counts global_order role_validation placeholder_check check_report_of_broken_rows check_errors  format_check format_measures format_summary "
     "extract_text extract_prediction positional_pair prompt_parts content_parts predicted_stub media_manifest media_totals missing_bytes bundle_metadata rewrite_refs "
     "round_trip resolved_refs missing_refs greedy_match resume_missing demo_sample preview_html data_urls extract_list source_counts image_index indexed_images resume_state exact_shuffle stream_resume"
 ).split()
 
 
 def queries() -> dict[str, Query]:
-    return {name: globals()[name] for name in NAMES}
+    return {name: globals()[name] for name in NAMES} | trees.queries()

@@ -114,9 +114,9 @@ def oracle_sql() -> dict[str, str]:
              ELSE [least(l_tax, l_quantity), least(l_discount, l_quantity), greatest(l_tax, l_quantity) - least(l_tax, l_quantity), greatest(l_discount, l_quantity) - least(l_discount, l_quantity)] END AS v FROM lineitem),
       g AS (SELECT l_linenumber, CASE WHEN v[3] > 0 AND v[4] > 0 THEN v END AS v FROM b)
       SELECT l_linenumber, count(v) AS boxes, count(*) - count(v) AS faulty, round(sum(v[1]), 3) AS x, round(sum(v[2]), 3) AS y, round(sum(v[3]), 3) AS w, round(sum(v[4]), 3) AS h FROM g GROUP BY l_linenumber"""
-    q["square_crop"] = """WITH b AS (SELECT record_id, bbox_xywh AS b, original_size[1]::DOUBLE AS iw, original_size[2]::DOUBLE AS ih FROM template_records
-        WHERE bbox_xywh IS NOT NULL AND original_size IS NOT NULL AND len(bbox_xywh) = 4 AND context_scale = 3.0),
-      c AS (SELECT *, greatest(2.0, least(greatest(b[3], b[4]) * 3.0, iw, ih)) AS side FROM b),
+    q["square_crop"] = """WITH b AS (SELECT record_id, bbox_xywh AS b, context_scale, original_size[1]::DOUBLE AS iw, original_size[2]::DOUBLE AS ih FROM template_records
+        WHERE bbox_xywh IS NOT NULL AND original_size IS NOT NULL AND len(bbox_xywh) = 4 AND context_scale IS NOT NULL),
+      c AS (SELECT *, greatest(2.0, least(greatest(b[3], b[4]) * context_scale, iw, ih)) AS side FROM b),
       d AS (SELECT *, greatest(0.0, least(b[1] + b[3] / 2 - side / 2, iw - side)) AS l, greatest(0.0, least(b[2] + b[4] / 2 - side / 2, ih - side)) AS t FROM c)
       SELECT record_id, greatest(0, floor(l))::INTEGER AS crop_left, greatest(0, floor(t))::INTEGER AS crop_top, least(iw, ceil(l + side))::INTEGER AS crop_right, least(ih, ceil(t + side))::INTEGER AS crop_bottom FROM d"""
     q["template_ids"] = """SELECT record_id, 'sorec_' || printf('%06d', source_index) || '_' || substr(sha1(source_index::VARCHAR || ':' || source_image || ':(' || array_to_string(bbox_xywh, ', ') || ')'), 1, 10) AS template_id
@@ -138,15 +138,17 @@ def oracle_sql() -> dict[str, str]:
     q["role_validation"] = f"WITH {SAMPLES}, g AS (SELECT array_to_string(list_transform(messages, lambda m: m.role), ',') AS roles, count(*) AS n FROM t GROUP BY 1) SELECT roles, n, roles IN ('system,user,assistant', 'user,assistant') AS valid FROM g"
     user = "array_to_string(list_transform(list_filter(messages, lambda m: m.role = 'user'), lambda m: m.content), '')"
     q["placeholder_check"] = f"WITH {SAMPLES} SELECT sample_key, len(regexp_extract_all({user}, '<image>')) AS image_marks, coalesce(len(images), 0) AS images, len(regexp_extract_all({user}, '<video>')) AS video_marks, coalesce(len(videos), 0) AS videos FROM t"
-    q["check_report"] = f"""WITH {SAMPLES}, u AS (SELECT *, {user} AS said, coalesce(trim(dataset), 'none') AS file FROM t),
+    q["check_report_of_broken_rows"] = f"""WITH {SAMPLES}, u AS (SELECT *, {user} AS said, coalesce(trim(dataset), 'none') AS file FROM t),
       e AS (SELECT file, CASE WHEN sample_key % 17 = 0 THEN NULL ELSE images END AS images, videos, sample_key,
         CASE WHEN sample_key % 11 = 0 THEN 1 WHEN sample_key % 13 = 0 THEN 1 ELSE 0 END +
         CASE WHEN sample_key % 11 <> 0 AND sample_key % 13 = 0 THEN 0 WHEN sample_key % 17 = 0 AND len(regexp_extract_all(said, '<image>')) > 0 THEN 1 WHEN len(regexp_extract_all(said, '<image>')) <> coalesce(len(images), 0) AND sample_key % 17 <> 0 THEN 1
              WHEN len(regexp_extract_all(said, '<video>')) <> coalesce(len(videos), 0) THEN 1 ELSE 0 END AS bad FROM u)
       SELECT file, count(*) AS rows, count(images) AS image_rows, count(videos) AS video_rows, count(*) FILTER (bad > 0) AS error_rows, least(5, count(*) FILTER (bad > 0)) AS listed FROM e GROUP BY file"""
-    q["check_errors"] = f"""WITH {SAMPLES}, d AS (SELECT * FROM t WHERE lower(trim(dataset)) = 'd3'), u AS (SELECT *, {user} AS said FROM d),
-      miss AS (SELECT sample_key, count(*) AS n FROM (SELECT sample_key, unnest(list_concat(coalesce(images, []), coalesce(flatten(videos), []))) AS path FROM d) WHERE path NOT IN (SELECT source_path FROM media_manifest WHERE source_path IS NOT NULL) GROUP BY sample_key),
-      e AS (SELECT u.sample_key, coalesce(miss.n, 0) + (len(regexp_extract_all(said, '<image>')) <> coalesce(len(images), 0))::INTEGER + (len(regexp_extract_all(said, '<video>')) <> coalesce(len(videos), 0))::INTEGER AS errors FROM u LEFT JOIN miss USING (sample_key))
+    q["check_errors"] = f"""WITH {SAMPLES}, u AS (SELECT *, {user} AS said, array_to_string(list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: coalesce(m.content, '')), '') AS answer,
+        array_to_string(list_transform(messages, lambda m: m.role), ',') AS roles FROM t),
+      miss AS (SELECT sample_key, count(*) AS n FROM (SELECT sample_key, unnest(list_concat(coalesce(images, []), coalesce(flatten(videos), []))) AS path FROM t) WHERE path NOT IN (SELECT source_path FROM media_manifest WHERE source_path IS NOT NULL) GROUP BY sample_key),
+      e AS (SELECT u.sample_key, coalesce(miss.n, 0) + (len(regexp_extract_all(said, '<image>')) <> coalesce(len(images), 0))::INTEGER + (len(regexp_extract_all(said, '<video>')) <> coalesce(len(videos), 0))::INTEGER
+        + ({STRIPPED.format(t='answer')} = '')::INTEGER + (roles NOT IN ('system,user,assistant', 'user,assistant'))::INTEGER AS errors FROM u LEFT JOIN miss USING (sample_key))
       SELECT sample_key, errors FROM e WHERE errors > 0"""
     q["format_check"] = f"WITH p AS (SELECT eval_id, {STRIPPED.format(t='prediction')} AS t FROM eval_records), r AS (SELECT eval_id, {_reasons('t')} AS reasons FROM p) SELECT eval_id, reasons = '' AS format_success, reasons FROM r"
     q["format_measures"] = f"WITH p AS (SELECT doc_id, coalesce(text, '') AS raw, {STRIPPED.format(t='text')} AS t FROM documents) SELECT doc_id, {WORDS.format(t='raw')} AS words, {SENTENCES.format(t='t')} AS sentences, regexp_matches(raw, '[\\x{{3400}}-\\x{{9fff}}]') AS cjk FROM p"
@@ -195,4 +197,26 @@ def oracle_sql() -> dict[str, str]:
     q["image_index"] = index
     q["indexed_images"] = f"WITH i AS ({index}) SELECT record_id, i.path IS NOT NULL AS found FROM template_records t LEFT JOIN i ON i.name = regexp_extract(t.source_image, '([^/]*)$', 1) WHERE source = 'sorec'"
     q["resume_state"] = "SELECT count(*) AS done FROM eval_records WHERE eval_id <= 1000"
+    val = lambda group, ratio=0.1: _part(group, ratio)
+    q["built_d3"] = f"""WITH p AS (SELECT DISTINCT o_custkey AS i, length(o_orderpriority) AS c FROM orders), k AS (SELECT p.*, n_name, row_number() OVER (ORDER BY {_key(53, "(i || ':' || c)")}, i || ':' || c) AS rank
+        FROM p JOIN customer ON c_custkey = i JOIN nation ON n_nationkey = c)
+      SELECT 'd3_' || i || '_' || c AS sample_id, {val('i', 0.05)} AS split, n_name AS answer, 'c' || i || '.jpg' AS image FROM k JOIN customer ON c_custkey = i WHERE rank <= 9000 AND c_mktsegment <> 'MACHINERY'"""
+    q["built_sorec"] = f"""WITH a AS (SELECT * FROM template_records WHERE source = 'sorec' AND sample_id IS NOT NULL AND source_image IS NOT NULL AND template_image IS NOT NULL AND source_text IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY record_id) = 1),
+      k AS (SELECT *, row_number() OVER (ORDER BY {_key(65, 'sample_id')}, sample_id) AS rank FROM a)
+      SELECT sample_id, {val("coalesce(nullif(sequence_name, ''), source_image)")} AS split, {STRIPPED.format(t='source_text')} AS answer, source_image || ',' || template_image AS images FROM k WHERE rank <= 6000"""
+    q["built_mevis"] = f"""WITH f AS (SELECT user_id, list(printf('%05d', event_id) ORDER BY event_id) AS frames FROM events GROUP BY user_id), e AS (SELECT DISTINCT user_id, event_type FROM events),
+      k AS (SELECT 'mevis_u' || user_id || '_' || event_type AS sample_id, e.user_id, event_type, frames FROM e JOIN f USING (user_id)),
+      r AS (SELECT *, row_number() OVER (ORDER BY {_key(85, 'sample_id')}, sample_id) AS rank FROM k)
+      SELECT sample_id, {val("('u' || user_id)")} AS split, 'who did ' || event_type AS answer, array_to_string(list_transform({_even('len(frames)', 6, 'frames')}, lambda x: 'out/frames/mevis/u' || user_id || '/' || x || '.jpg'), ',') AS frames FROM r WHERE rank <= 1900"""
+    q["built_refer_kitti"] = f"""WITH s AS (SELECT s_suppkey AS i, 'n' || s_nationkey AS sequence, 'The Car ' || s_suppkey % 40 AS sentence, s_suppkey % 6 AS k FROM supplier),
+      a AS (SELECT *, lower(sentence) AS g, 'expression/' || sequence || '/e' || i || '.json' AS place, CASE WHEN k > 0 THEN list_filter(range(1, 10), lambda x: x % k = 0) ELSE [] END AS ids FROM s),
+      d AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY {_key(79, 'g', 'place')}, place) AS depth FROM a),
+      r AS (SELECT *, row_number() OVER (ORDER BY depth, {_key(79, 'g')}, g) AS rank FROM d WHERE len(ids) > 0)
+      SELECT 'refer_kitti_' || sequence || '_e' || i AS sample_id, {val('sequence')} AS split, sentence AS answer,
+        array_to_string(list_transform({_even('len(ids)', 6, 'ids')}, lambda x: 'out/frames/refer_kitti/' || sequence || '/' || printf('%06d', x) || '.png'), ',') AS frames FROM r WHERE rank <= 60"""
+    moved = lambda x: f"array_to_string(list_transform({x}, lambda p: {_bundle('p')}), ',')"
+    q["packed_fields"] = f"WITH {SAMPLES} SELECT sample_key, {moved('images')} AS images, {moved('flatten(videos)')} AS videos, array_to_string(list_transform(messages, lambda m: concat_ws(':', m.role, length(m.content))), ',') AS said FROM t"
+    q["checked_lines"] = r"""WITH l AS (SELECT regexp_replace(coalesce(row_json, ''), '[\r\n]+', ' ', 'g') AS v, row_number() OVER (ORDER BY sample_key) AS line FROM built_samples)
+      SELECT line, row_number() OVER (ORDER BY line) - 1 AS ordinal, json_valid(v) AND coalesce(json_type(CASE WHEN json_valid(v) THEN v END) = 'OBJECT', false) AS good FROM l WHERE regexp_matches(v, '\S')"""
     return q

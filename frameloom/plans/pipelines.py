@@ -87,8 +87,8 @@ def build_refer_kitti(b: Build) -> DataFrame:
     base = b.folder("refer_kitti")
     read = json.annotation_files(b.spark, os.path.join(base, "expression", "*", "*.json"), schemas.EXPRESSION)
     said = F.lower(X.strip(F.coalesce(F.nullif(F.col("raw_sentence"), F.lit("")), F.col("sentence"))))
-    each = read.withColumn("group", said).withColumn("ids", X.active_keys(F.col("label")))
-    top = sampling.round_robin(each, "group", "file", b.quotas["refer_kitti"], b.seed_of("refer_kitti"), keep=F.size("ids") > 0)
+    each = read.withColumn("group", said).withColumn("ids", X.active_keys(F.col("label"))).withColumn("place", X.relative_path(F.col("file"), base))  # so that the order doesn't depend on where the data lie
+    top = sampling.round_robin(each, "group", "place", b.quotas["refer_kitti"], b.seed_of("refer_kitti"), keep=F.size("ids") > 0)
     sequence, stem = X.path_parent(F.col("file")), X.path_stem(F.col("file"))
     keyed = top.withColumn("sequence", sequence).withColumn("sample_id", F.concat_ws("_", F.lit("refer_kitti"), sequence, stem)).withColumn("sampled_frames", X.even_sample(F.col("ids"), sampling.FRAMES))
     keyed = keyed.withColumn("expression_file", X.relative_path(F.col("file"), base))
@@ -235,43 +235,58 @@ def pack(spark: SparkSession, source_root: str, data: str, output: str, mode: st
     if mode == "copy":
         bundle.require_space(entries, present, output)
     placed = bundle.publish(entries, output, mode, checksum, repair)
-    placed.orderBy("bundle_path").select("source_path", "bundle_path", "size_bytes", "reference_count", "sha256").coalesce(1).write.mode("overwrite").json(f"{output}/manifest")
+    placed.orderBy("bundle_path").select("source_path", "bundle_path", "size_bytes", "reference_count", "sha256").write.mode("overwrite").json(f"{output}/manifest")
     table = small(sources.select("path", bundle.bundle_path(F.col("source")).alias("bundle_path")))
     moves = refs.distinct().join(table, "path").groupBy("id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("path", "bundle_path")))).alias("moves"))  # of one row
     name = F.regexp_replace(X.relative_path(F.col("file"), data), r"\.jsonl$", "")
     packed = bundle.lines_moved(rows.join(moves, "id", "left").select(name.alias("name"), "line", F.col("raw").alias("value"), "moves"), "value", "moves")
-    packed.repartition("name").sortWithinPartitions("name", "line").select("name", "value").write.mode("overwrite").partitionBy("name").text(f"{output}/data")
+    sinks.write_json_files(packed, f"{output}/data")
     sinks.write_object(about, f"{output}/bundle.json")
     sinks.write_bundle_readme(f"{output}/README.md")
+    sinks.write_bundle_resolver(f"{output}/resolve.py")
     return about
 
 
-def _bundle_rows(spark: SparkSession, folder: str) -> DataFrame:
-    read = spark.read.text(folder)
-    return read.select(F.col("name").alias("file"), F.from_json("value", schemas.ROW, {"mode": "FAILFAST"}).alias("r")).select("file", "r.*")
+def _below(root: str, folder: str) -> str:
+    return folder if folder.startswith("/") or ":/" in folder else f"{root.rstrip('/')}/{folder}"
 
 
 def resolve(spark: SparkSession, root: str, data: str = "data", output: str = "runtime_data", check_only: bool = False) -> dict[str, int]:
-    """Rows of a bundle with absolute paths on this host; rows by file. A missing media file is an error."""
-    rows = bundle.lines_moved(spark.read.text(f"{root}/{data}").select(F.col("name").cast("string").alias("name"), "value"), "value", root=root)
+    """Rows of a bundle with absolute paths on this host, in their files and order; rows by file. A missing media file or an unreadable line is an error."""
+    folder = _below(root, data)
+    read = json.readable(read_rows(spark, folder))
+    name = F.regexp_replace(X.relative_path(F.col("file"), folder), r"\.jsonl$", "")
+    rows = bundle.lines_moved(read.select(name.alias("name"), "line", F.col("raw").alias("value")), "value", root=root)
+    if rows.isEmpty():
+        raise FileNotFoundError(f"no rows below {folder}")
     lost = bundle.line_references(rows, "name", "value").join(files.listing(spark, f"{root}/media").select("path").distinct(), "path", "left_anti").count()
     if lost:
         raise FileNotFoundError(f"{lost} references to media are broken")
     if not check_only:
-        rows.write.mode("overwrite").partitionBy("name").text(f"{root}/{output}")
+        return sinks.write_json_files(rows, _below(root, output))
     return {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy("name").toLocalIterator()}
 
 
 def check(spark: SparkSession, root: str, data: str = "runtime_data", verify_images: bool = False, max_errors: int = 20) -> DataFrame:
-    """The report on a bundle's rows: (file, rows, image_rows, video_rows, error_rows, errors)."""
-    rows = _bundle_rows(spark, f"{root}/{data}").withColumn("line", F.monotonically_increasing_id())
-    met = rows.join(quality.missing_media(rows, "line", files.listing(spark, f"{root}/media")), "line", "left")
+    """The report on a bundle's rows: (file, rows, image_rows, video_rows, audio_rows, error_rows, errors), errors with their line numbers.
+
+    A line that can't be read is an error of its file. Media of all fields have to be there.
+    """
+    folder = _below(root, data)
+    read = json.numbered_lines(spark, folder, "messages string, images string, videos string, audios string", raw=True)
+    name = F.regexp_replace(X.relative_path(F.col("file"), folder), r"\.jsonl$", "")
+    rows = read.select(name.alias("file"), "line", F.concat_ws("#", "file", F.col("line").cast("string")).alias("id"), "raw", "error", F.from_json("messages", schemas.MESSAGES).alias("messages"), F.from_json("images", "array<string>").alias("images"), F.from_json("videos", "array<array<string>>").alias("videos"), "audios")
+    refs = bundle.line_references(rows.where("error is null"), "id", "raw")
+
+    def listed(paths: DataFrame, column: str) -> DataFrame:
+        return paths.groupBy("id").agg(F.array_sort(F.collect_set("path")).alias(column))  # of one row
+
+    met = rows.join(listed(refs.join(files.listing(spark, f"{root}/media").select("path").distinct(), "path", "left_anti"), "missing"), "id", "left")
     bad: Column | None = None
     if verify_images:
         wrong = archives.verified(spark, f"{root}/media").where("error is not null").select("path")
-        lists = quality.media_of(rows, "line").join(small(wrong), "path").groupBy("line").agg(F.array_sort(F.collect_set("path")).alias("corrupt"))  # of one row
-        met, bad = met.join(lists, "line", "left"), F.col("corrupt")
-    errors = quality.row_errors(F.col("messages"), F.col("images"), F.col("videos"), quality.ROLES, F.col("missing"), bad)
+        met, bad = met.join(listed(refs.join(small(wrong), "path"), "corrupt"), "id", "left"), F.col("corrupt")
+    errors = F.when(F.col("error").isNotNull(), F.array("error")).otherwise(quality.row_errors(F.col("messages"), F.col("images"), F.col("videos"), quality.ROLES, F.col("missing"), bad))
     return quality.check_report(met.withColumn("errors", errors), "file", "line", max_errors)
 
 

@@ -78,6 +78,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; it survives the loss of executors."""
+    ship(df.sparkSession)
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -105,12 +106,20 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     Used instead of checkpoint() where a later step reads few of the columns or where compression matters.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/frameloom-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for files of a run; what lies there goes when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/frameloom-{name}"
+    _staged.append((spark, path))
+    return path
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks df for broadcasting if it has at most so many rows; otherwise Spark picks a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .files import plain_path
 
 
@@ -43,6 +44,7 @@ def members(spark: SparkSession, paths: list[str]) -> DataFrame:
                 with _open(path) as archive:
                     yield pd.DataFrame({"archive": path, "member": list(_names(archive))})
 
+    ship(spark)
     made = spark.createDataFrame([(p,) for p in paths], "archive string").repartition(max(1, len(paths)), "archive")
     return made.mapInPandas(run, "archive string, member string")
 
@@ -72,6 +74,7 @@ def extract(wanted: DataFrame, root: str) -> DataFrame:
                         out.append((path, member, place))
             yield pd.DataFrame(out, columns=["archive", "member", "path"])
 
+    ship(wanted.sparkSession)
     return wanted.select("archive", "member", "target").mapInPandas(run, "archive string, member string, path string")
 
 
@@ -135,6 +138,7 @@ def verified(spark: SparkSession, paths: list[str] | str) -> DataFrame:
             out = pd.DataFrame({"path": pdf["path"], "width": [s[0] for s in sizes], "height": [s[1] for s in sizes], "error": [problem(x) for x in pdf["content"]]})
             yield out.astype({"width": "Int32", "height": "Int32"})
 
+    ship(spark)
     read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select(plain_path(F.col("path")).alias("path"), "content")
     return read.mapInPandas(run, "path string, width int, height int, error string")
 
@@ -163,4 +167,5 @@ def render(crops: DataFrame, root: str, size: int = 336, quality: int = 95) -> D
                 out.append(place)
             yield pd.DataFrame({"path": out})
 
+    ship(crops.sparkSession)
     return crops.mapInPandas(run, "path string")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small
 from .files import plain_path
 
 
@@ -44,15 +45,39 @@ def lines(spark: SparkSession, path: str | list[str], schema: str, strict: bool
     return df.withColumn(first, F.coalesce(checked.cast(df.schema[first].dataType), F.col(first))).drop(corrupt)
 
 
-def numbered_lines(spark: SparkSession, path: str, schema: str, raw: bool = False) -> DataFrame:
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(p) and files.getFileStatus(p).isDirectory()
+
+
+def numbered_lines(spark: SparkSession, path: str, schema: str, raw: bool = False, ordinal: bool = False) -> DataFrame:
     """(file, line, error, row columns): JSON lines with their numbers from 1, blank lines counted but left out; unreadable ones have an error.
-    raw: the line itself (column raw) comes too.
+    raw: the line itself (column raw) comes too. ordinal: so does the place from 0 among all rows, by file and line.
 
-    Lines are numbered inside each file, which is read whole by one task; that suits many files of moderate size.
+    A folder's files are those named *.jsonl at any depth. Files are read in blocks by many tasks: the lines of a block are counted, those before it in its
+    file give its first number, and inside a block lines follow one another by the identifiers that the scan gives them.
     """
-    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(plain_path(F.col("_metadata.file_path")).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
-    there = text.where(F.col("text").rlike(r"(?U)\S")).select("file", (F.col("i") + 1).alias("line"), F.col("text").alias("raw"), F.from_json("text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
-    return there.select("file", "line", *["raw"] * raw, F.when(F.col("row").isNull() | F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
+    reader = spark.read.option("recursiveFileLookup", True)
+    if _is_folder(spark, path):
+        reader = reader.option("pathGlobFilter", "*.jsonl")
+    read = reader.text(path).select(plain_path(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"), F.col("value").alias("__text"))
+    there = F.col("__text").rlike(r"(?U)\S")
+    counts = read.groupBy(F.col("file").alias("__file"), F.col("__block").alias("__at")).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("n"), F.count_if(there).alias("rows"))
+    before = Window.partitionBy("__file").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    blocks = counts.withColumn("__base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("__rows", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    if ordinal:
+        per = counts.groupBy(F.col("__file").alias("__name")).agg(F.sum("rows").alias("__n"))
+        places = per.select("__name", F.coalesce(F.sum("__n").over(Window.orderBy("__name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"))  # a row a file
+        blocks = blocks.join(places, F.col("__file") == F.col("__name")).withColumn("__rows", F.col("__rows") + F.col("__start"))
+    blocks = small(blocks.select("__file", "__at", "__first", "__base", "__rows"))
+    met = read.where(there).join(blocks, (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__at")))
+    lines_ = met.withColumn("line", (F.col("__base") + F.col("__id") - F.col("__first") + 1).cast("int"))
+    if ordinal:
+        lines_ = lines_.withColumn("ordinal", (F.col("__rows") + F.row_number().over(Window.partitionBy("file", "__block").orderBy("line")) - 1).cast("long"))
+    extra = ["ordinal"] * ordinal
+    rows = lines_.select("file", "line", *extra, F.col("__text").alias("raw"), F.from_json("__text", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("row"))
+    return rows.select("file", "line", *extra, *["raw"] * raw, F.when(F.col("row").isNull() | F.col("row._bad").isNotNull(), F.lit("not a JSON object")).alias("error"), "row.*").drop("_bad")
 
 
 def readable(rows: DataFrame) -> DataFrame:

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html_escape
+from ..session import ship
 
 
 def write_lines(df: DataFrame, path: str, order: str | None = None, mode: str = "overwrite") -> None:
@@ -35,6 +40,39 @@ def write_file(df: DataFrame, path: str, order: str | None = None, keep_order: b
     return n
 
 
+def write_json_files(df: DataFrame, root: str, name: str = "name", order: str = "line", value: str = "value") -> dict[str, int]:
+    """Rows by file: for each name a file root/name.jsonl of its values in order, below a folder that all executors share.
+
+    A file is written by one task, which streams its rows and renames it when it is complete; rows never pass the driver.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, rows, half, done = None, None, 0, "", []
+
+        def close() -> None:
+            if held is not None:
+                held.close()
+                os.replace(half, os.path.join(root, f"{now}.jsonl"))
+                done.append((now, rows))
+
+        for pdf in batches:
+            for file, text in zip(pdf[name], pdf[value], strict=True):
+                if file != now:
+                    close()
+                    now, rows = file, 0
+                    half = os.path.join(root, f"{file}.jsonl.{uuid.uuid4().hex}.part")
+                    os.makedirs(os.path.dirname(half), exist_ok=True)
+                    held = open(half, "w", encoding="utf-8", newline="\n")
+                held.write(text + "\n")
+                rows += 1
+        close()
+        yield pd.DataFrame(done, columns=["name", "n"])
+
+    ship(df.sparkSession)
+    ordered = df.select(F.col(name).cast("string").alias(name), order, value).repartition(name).sortWithinPartitions(name, order)
+    return {r["name"]: r["n"] for r in sorted(ordered.mapInPandas(run, "name string, n long").toLocalIterator())}
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
@@ -68,11 +106,16 @@ def write_object(row: dict, path: str) -> None:
 
 
 def write_bundle_readme(path: str) -> None:
-    text = "# Bundle\n\nRows lie in `data`, media in `media/files`. Resolve the paths on this host before use:\n\n    python -m frameloom.cli resolve --bundle-root .\n"
+    text = "# Bundle\n\nRows lie in `data`, media in `media/files`. Resolve the paths on this host before use (needs Python only):\n\n    python resolve.py\n"
     with open(path, "w", encoding="utf-8") as f:
         f.write(text)
 
 
+def write_bundle_resolver(path: str) -> None:
+    """A program beside the bundle that makes its paths absolute where neither Spark nor this package is installed."""
+    shutil.copyfile(os.path.join(os.path.dirname(os.path.abspath(__file__)), "bundle_resolver.py"), path)
+
+
 def media_cards(images: Column, videos: Column) -> Column:
     """HTML of a row's images and of its videos' frames."""
     tag = lambda p, alt: F.concat(F.lit('<img src="'), html_escape(F.concat(F.lit("file://"), F.replace(p, F.lit(" "), F.lit("%20")))), F.lit(f'" alt="{alt}">'))

@@ -36,13 +36,22 @@ def test_runs_without_the_training_data_part(monkeypatch):
 
     def absent(name, *a):
         if ".llm" in name:
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name="frameloom.llm")
         return real(name, *a)
 
     monkeypatch.setattr(importlib, "import_module", absent)
     assert set(entry.queries()) == set(catalogue.queries()) and set(entry.oracle_sql()) == set(oracles.oracle_sql())
 
 
+def test_other_missing_modules_are_errors(monkeypatch):
+    def absent(name, *a):
+        raise ModuleNotFoundError(name, name="zstandard")
+
+    monkeypatch.setattr(importlib, "import_module", absent)
+    with pytest.raises(ModuleNotFoundError):
+        entry.queries()
+
+
 def test_nothing_else_imports_that_part():
     import pathlib
     import re
@@ -67,7 +76,7 @@ def test_workers_need_no_path(data, tmp_path):
     assert "rows" in said.stdout, said.stderr[-2000:]
 
 
-@pytest.mark.parametrize("name", ["seeded_topk", "quota_by_source", "unique_first_topk", "round_robin_kept", "global_order", "media_manifest", "check_report", "window_variants"])
+@pytest.mark.parametrize("name", ["seeded_topk", "quota_by_source", "unique_first_topk", "round_robin_kept", "global_order", "media_manifest", "check_report_of_broken_rows", "window_variants"])
 def test_partitions_do_not_matter(spark, data, name):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:

@@ -1,7 +1,12 @@
+import base64
+import http.server
 import json
 import os
 import struct
+import subprocess
+import sys
 import tarfile
+import threading
 import zipfile
 import zlib
 
@@ -9,6 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from frameloom import cli
+from frameloom.functions import normal_path
+from frameloom.operators import infer
 from frameloom.plans import pipelines
 from frameloom.sources import archives, files, schemas, sinks
 from frameloom.sources import json as readers
@@ -120,8 +127,7 @@ def test_pack_keeps_all_keys_and_media(spark, tmp_path):
     put(tmp_path / "src/data/more.jsonl", json.dumps(rest | media) + "\n")
     assert pipelines.pack(spark, src, f"{src}/data", out)["unique_media_files"] == 7
     assert pipelines.resolve(spark, out)["more"] == 1
-    value = spark.read.text(f"{out}/runtime_data").where("name = 'more'").first()["value"]
-    back = json.loads(value)
+    back = json.loads(open(f"{out}/runtime_data/more.jsonl").read())
     assert {k: v for k, v in back.items() if k not in media} == rest and set(back) == set(rest) | set(media)
     flat = lambda v: [v] if isinstance(v, str) else [x for i in v for x in flat(i)]
     for name, value in media.items():
@@ -129,6 +135,52 @@ def test_pack_keeps_all_keys_and_media(spark, tmp_path):
     assert isinstance(back["rejected_audios"], str) and [len(v) for v in back["rejected_videos"]] == [2]
 
 
+def test_bundle_keeps_order_and_lines(spark, tmp_path):
+    src, out = bundle_rows(tmp_path), str(tmp_path / "bundle")
+    rows = [{"messages": [{"role": "user", "content": f"q{i}"}, {"role": "assistant", "content": "a"}], "id": i} for i in range(500)]
+    put(tmp_path / "src/data/deep/er/many.jsonl", "\n\n".join(map(json.dumps, rows)) + "\n")
+    put(tmp_path / "src/data/notes.txt", "no rows")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # so that a file is read in many blocks
+    try:
+        about = pipelines.pack(spark, src, f"{src}/data", out)
+        assert about["jsonl_files"] == 3 and pipelines.resolve(spark, out) == {"train": 2, "val": 1, "deep/er/many": 500}
+        lines = open(f"{out}/runtime_data/deep/er/many.jsonl").read().splitlines()
+        assert [json.loads(x) for x in lines] == rows
+        numbered = readers.numbered_lines(spark, f"{src}/data/deep/er/many.jsonl", "id long", ordinal=True).collect()
+        assert sorted((r.line, r.id, r.ordinal) for r in numbered) == [(2 * i + 1, i, i) for i in range(500)]
+        both = readers.numbered_lines(spark, f"{src}/data", "id long", ordinal=True).orderBy("file", "line").collect()
+        assert [r.ordinal for r in both] == list(range(503))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    lines[7], lines[9] = "{broken", json.dumps(rows[9] | {"audios": ["media/none.wav"]})
+    open(f"{out}/runtime_data/deep/er/many.jsonl", "w").write("\n".join(lines) + "\n")
+    report = {r.file: r for r in pipelines.check(spark, out).collect()}["deep/er/many"]
+    assert report.rows == 500 and report.audio_rows == 1 and report.error_rows == 2
+    assert report.errors[0] == "8: not a JSON object" and report.errors[1].startswith("10: missing media file: media/none.wav")
+    with pytest.raises(ValueError, match="many.jsonl:8"):
+        pipelines.resolve(spark, out, "runtime_data", "again")
+
+
+def test_bundle_resolves_itself(spark, tmp_path):
+    src, out = bundle_rows(tmp_path), str(tmp_path / "bundle")
+    pipelines.pack(spark, src, f"{src}/data", out)
+    moved = str(tmp_path / "moved")
+    os.rename(out, moved)
+    subprocess.run([sys.executable, f"{moved}/resolve.py"], check=True)
+    alone = open(f"{moved}/runtime_data/train.jsonl").read()
+    pipelines.resolve(spark, moved)
+    assert [json.loads(x) for x in alone.splitlines()] == [json.loads(x) for x in open(f"{moved}/runtime_data/train.jsonl")]
+
+
+def test_one_file_under_two_spellings(spark, tmp_path):
+    src, out = bundle_rows(tmp_path), str(tmp_path / "bundle")
+    row = {"messages": [], "images": ["cv/a.png", "cv/../cv/./a.png", f"{src}/x/..//cv/a.png"]}
+    put(tmp_path / "src/data/more.jsonl", json.dumps(row) + "\n")
+    assert pipelines.pack(spark, src, f"{src}/data", out)["unique_media_files"] == 2
+    made = spark.createDataFrame([("/a/./b//../c/",), ("/../x",), ("/",)], "p string").select(normal_path(F.col("p"))).collect()
+    assert [r[0] for r in made] == ["/a/c", "/x", "/"]
+
+
 def test_preview_has_all_cards(spark, tmp_path):
     cards = spark.range(300).selectExpr("300 - id AS ordinal", "concat('<article>', id, '</article>') AS card")
     sinks.write_preview(cards, str(tmp_path / "preview.html"))
@@ -159,6 +211,100 @@ def test_evaluate_and_infer(spark, tmp_path):
     assert about["num_samples"] == 3 and about["format_success_count"] == 1 and len(open(tmp_path / "e/model_per_sample.jsonl").readlines()) == 3
 
 
+PLUGIN = '''
+def vectors(texts, **options):
+    return [[[float(len(w)), 1.0] for w in t.split()] for t in texts]
+
+
+def paid(system, user):
+    if user[0]["text"] == "say 4":
+        raise RuntimeError("no answer")
+    return {"response": user[0]["text"].upper()}
+'''
+
+
+@pytest.fixture(scope="module")
+def plugin(spark, tmp_path_factory):
+    """A module of the user's own, which the session sends to the workers."""
+    folder = tmp_path_factory.mktemp("plugin")
+    (folder / "own_model.py").write_text(PLUGIN)
+    spark.sparkContext.addPyFile(str(folder / "own_model.py"))
+    sys.path.insert(0, str(folder))
+    return "own_model"
+
+
+def test_scores_from_the_command_line(spark, tmp_path, plugin):
+    rows = [{"messages": [{"role": "user", "content": "x"}, {"role": "assistant", "content": f"word {i}"}]} for i in range(3)]
+    put(tmp_path / "val.jsonl", "\n".join(map(json.dumps, rows)) + "\n")
+    put(tmp_path / "p.jsonl", "\n".join(json.dumps({"response": f"word {i}"}) for i in range(3)) + "\n")
+    args = ["evaluate", "--reference", str(tmp_path / "val.jsonl"), "--prediction", str(tmp_path / "p.jsonl"), "--output-dir", str(tmp_path / "e")]
+    assert cli.main([*args, "--embedder", f"{plugin}:vectors"]) == 0
+    about = json.load(open(tmp_path / "e/model_summary.json"))
+    assert about["bertscore_f1"] == pytest.approx(1) and about["metric_config"]["bert_num_layers"] == 24
+    got = [json.loads(x) for x in open(tmp_path / "e/model_per_sample.jsonl")]
+    assert [r["index"] for r in got] == [0, 1, 2] and got[0]["bertscore_p"] == pytest.approx(1)
+    put(tmp_path / "p.jsonl", '{"response": "a"}\n[1]\n')
+    with pytest.raises(ValueError, match="p.jsonl:2"):
+        cli.main(args)
+
+
+def test_answers_outlive_a_run_that_fails(spark, tmp_path, plugin):
+    rows = [{"messages": [{"role": "user", "content": f"say {i}"}]} for i in range(6)]
+    put(tmp_path / "v/a.jsonl", "\n".join(map(json.dumps, rows[:3])) + "\n")
+    put(tmp_path / "v/b.jsonl", "\n".join(map(json.dumps, rows[3:])) + "\n")
+    out = str(tmp_path / "pred")
+    args = ["infer", "--dataset", str(tmp_path / "v"), "--output", out, "--request-interval", "0", "--retry-wait-seconds", "0", "--max-retries", "2"]
+    with pytest.raises(Exception, match="no answer"):
+        cli.main([*args, "--client", f"{plugin}:paid"])
+    kept = {r["index"]: r.response for r in infer.answers(spark, out).collect()}
+    assert kept and 4 not in kept and all(v == f"SAY {k}" for k, v in kept.items())
+    assert cli.main(args) == 0
+    now = {r["index"]: r.response for r in infer.answers(spark, out).collect()}
+    assert sorted(now) == list(range(6)) and kept.items() <= now.items() and now[4] == "say 4"
+
+
+def test_media_are_sent_to_a_server(spark, tmp_path):
+    asked = []
+
+    class Server(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked.append((self.path, self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            body = json.dumps({"choices": [{"message": {"content": " fine "}}], "usage": {"prompt_tokens": 1, "completion_tokens": 2, "total_tokens": 3}}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    put(tmp_path / "media/a.png", png())
+    row = {"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "<image>look<video>"}], "images": ["a.png"], "videos": [["a.png", "a.png"]]}
+    put(tmp_path / "val.jsonl", json.dumps(row) + "\n")
+    args = ["infer", "--dataset", str(tmp_path / "val.jsonl"), "--media-root", str(tmp_path / "media"), "--base-url", f"http://127.0.0.1:{server.server_port}/v1", "--model", "m", "--max-tokens", "7", "--request-interval", "0"]
+    assert cli.main([*args, "--output", str(tmp_path / "pred")]) == 0
+    server.shutdown()
+    path, _, body = asked[0]
+    assert path == "/v1/chat/completions" and body["model"] == "m" and body["max_tokens"] == 7 and body["messages"][0] == {"role": "system", "content": "s"}
+    parts = body["messages"][1]["content"]
+    url = f"data:image/png;base64,{base64.b64encode(png()).decode()}"
+    assert parts == [{"type": "image_url", "image_url": {"url": url}}, {"type": "text", "text": "look"}, {"type": "video", "video": [url, url]}]
+    got = infer.answers(spark, str(tmp_path / "pred")).first()
+    assert got.response == "fine" and got.usage.total_tokens == 3
+
+
+def test_compare_checks_first(spark, tmp_path, plugin):
+    put(tmp_path / "val.jsonl", json.dumps({"messages": [{"role": "user", "content": "say 1"}]}) + "\n")
+    args = ["compare", "--dataset", str(tmp_path / "val.jsonl"), "--output-dir", str(tmp_path / "o"), "--request-interval", "0"]
+    with pytest.raises(ValueError, match="no client for lora"):
+        cli.main([*args, "both", "--base-client", f"{plugin}:paid"])
+    assert not os.path.exists(tmp_path / "o")
+    with pytest.raises(FileNotFoundError):
+        cli.main(["compare", "--dataset", str(tmp_path / "none"), "--output-dir", str(tmp_path / "o")])
+    assert cli.main([*args, "base", "--base-client", f"{plugin}:paid"]) == 0 and infer.answers(spark, str(tmp_path / "o/base")).first().response == "SAY 1"
+
+
 def test_json_lines(spark, tmp_path):
     put(tmp_path / "a.jsonl", '{"index": 1, "response": "x"}\n\n{"index": 2}\n')
     put(tmp_path / "b/bad.jsonl", '{"index": 1}\n[1]\n{oops\n')
