@@ -15,7 +15,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators import infer, quality, sampling
+from .operators import assemble, infer, quality, sampling
 from .plans import pipelines
 from .session import ship, stage
 from .sources import archives, files, json, schemas, sinks
@@ -118,7 +118,10 @@ def _function(spec: str):
 def _build(spark: SparkSession, a: argparse.Namespace) -> None:
     b = pipelines.Build(spark, a.root, a.output, a.seed, scales=tuple(a.lasot_scales))
     samples = pipelines.build(b, tuple(a.datasets), a.mode, a.demo_per_dataset)
+    samples = stage(samples)
     pipelines.write_build(samples, a.output, a.mode)
+    counts = {r["dataset"] or "all": r["samples"] for r in assemble.by_dataset(samples).collect()}  # a row a source
+    print(js.dumps({"mode": a.mode, "output": a.output, "samples": counts}))
 
 
 def _templates(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -144,7 +147,7 @@ def _templates(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.render:
         crops = records.select("source_image", "template_image", *[F.get("crop_xyxy", i).alias(k) for i, k in enumerate(("left", "top", "right", "bottom"))])
         archives.render(crops, a.root, a.output_size).count()
-    records.groupBy("source").agg(F.count(F.lit(1)).alias("records")).show()
+    print(js.dumps({r["source"]: r["n"] for r in records.groupBy("source").agg(F.count(F.lit(1)).alias("n")).orderBy("source").collect()}))  # a row a source
 
 
 def _evaluate(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -173,6 +176,8 @@ def _ask(spark: SparkSession, a: argparse.Namespace, output: str, client, model:
     folder = a.media_root or os.path.dirname(os.path.abspath(a.dataset))
     made = infer.predicted(todo, "ordinal", client, model, a.max_retries, a.retry_wait_seconds, a.request_interval, media_folder=None if a.paths_only else folder, log=output)
     made.write.format("noop").mode("overwrite").save()  # answers are logged as they come
+    there = infer.answers(spark, output)
+    print(js.dumps({"model": model, "output": output, "answers": there.count() if there is not None else 0}))
 
 
 def _client(a: argparse.Namespace, spec: str | None, model: str):

@@ -34,6 +34,7 @@ def count_of(c: Column, part: str) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(quoted)), F.lit(0))
 
 
+# The two patterns below, and the names of reasons in format_reasons.
 def word_count(c: Column) -> Column:
     """Runs of ASCII letters, with one more run after an apostrophe or hyphen counted with the first."""
     return F.regexp_count(c, F.lit(r"[A-Za-z]+(?:['-][A-Za-z]+)?"))

@@ -160,15 +160,11 @@ def unpacked(df: DataFrame, root: str) -> DataFrame:
 
 
 def restored(df: DataFrame, key: str, entries: DataFrame) -> DataFrame:
-    """Rows of a bundle with their source paths again, looked up in the manifest; order and nesting stay. An unknown path is an error."""
-    refs = media_of(df, key)
+    """Rows of a bundle with their source paths again, in all media fields, looked up in the manifest; order and nesting stay. An unknown path is an error."""
     known = small(entries.select(F.col("bundle_path").alias("path"), "source_path"))
-    met = refs.join(known, "path", "left").withColumn("source_path", F.coalesce("source_path", F.raise_error(F.concat(F.lit("not in the manifest: "), F.col("path")))))
-    # arrays of one row each
-    pictures = met.where("field = 'images'").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "source_path"))), lambda x: x["source_path"]).alias("__i"))
-    clip = met.where("field = 'videos'").groupBy(key, "video").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "source_path"))), lambda x: x["source_path"]).alias("f"))
-    clips = clip.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("video", "f"))), lambda x: x["f"]).alias("__v"))
-    return df.join(pictures, key, "left").join(clips, key, "left").withColumn("images", F.coalesce("__i", "images")).withColumn("videos", F.coalesce("__v", "videos")).drop("__i", "__v")
+    met = references(df, key).select(key, "path").distinct().join(known, "path", "left").withColumn("source_path", F.coalesce("source_path", F.raise_error(F.concat(F.lit("not in the manifest: "), F.col("path")))))
+    table = met.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("path", "source_path"))).alias("__back"))  # of one row
+    return rewritten(df.join(table, key, "left"), lambda p: F.element_at("__back", p)).drop("__back")
 
 
 def unresolved(df: DataFrame, key: str, files: DataFrame) -> DataFrame:

@@ -72,16 +72,16 @@ def row_errors(messages: Column, images: Column, videos: Column, roles: tuple[tu
     user = said_by(messages, "user")
     pictures, clips = F.coalesce(F.size(images), F.lit(0)), F.coalesce(F.size(videos), F.lit(0))
     pictures, clips = F.greatest(pictures, F.lit(0)), F.greatest(clips, F.lit(0))
-    marks = lambda kind, n: F.format_string(f"{kind} placeholder mismatch: placeholders=%d, {kind}s=%d", count_of(user, f"<{kind}>"), n)
+    marks = lambda kind, n: F.format_string(f"%d marks for {kind}s, but %d {kind}s", count_of(user, f"<{kind}>"), n)
     tests = [
-        F.when(~good, F.lit("missing or invalid messages")),
-        F.when(good & ~known, F.concat(F.lit("unexpected message roles: "), F.array_join(said, ","))),
-        F.when(good & (strip(said_by(messages, "assistant")) == ""), F.lit("empty assistant response")),
+        F.when(~good, F.lit("no list of at least two messages")),
+        F.when(good & ~known, F.concat(F.lit("roles out of order: "), F.array_join(said, ","))),
+        F.when(good & (strip(said_by(messages, "assistant")) == ""), F.lit("no answer")),
         F.when(good & (count_of(user, "<image>") != pictures), marks("image", pictures)),
         F.when(good & (count_of(user, "<video>") != clips), marks("video", clips)),
     ]
     found = F.array_compact(F.array(*tests))
-    for paths, text in ((missing, "missing media file: "), (corrupt, "corrupt image: ")):
+    for paths, text in ((missing, "media not found: "), (corrupt, "image unreadable: ")):
         if paths is not None:
             found = F.concat(found, F.coalesce(_prefixed(paths, text), F.array().cast("array<string>")))
     return found

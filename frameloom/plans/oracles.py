@@ -40,7 +40,7 @@ MANIFEST = f"""m AS (
 z AS (SELECT source_path, max(size_bytes) AS size_bytes FROM media_manifest GROUP BY source_path),
 e AS (SELECT m.source_path, m.bundle_path, z.size_bytes, m.reference_count FROM m LEFT JOIN z USING (source_path))"""
 WORDS = "len(regexp_extract_all({t}, '[A-Za-z]+(?:[''-][A-Za-z]+)?'))"
-SENTENCES = "CASE WHEN {t} = '' THEN 0 ELSE greatest(1, len(list_filter(string_split_regex({t}, '[.!?]+(?:\\s+|$)'), lambda p: regexp_matches(p, '[^\\s\\p{{Z}}]')))) END"
+SENTENCES = "CASE WHEN {t} = '' THEN 0 ELSE greatest(1, len(list_filter(string_split_regex({t}, '[.!?]+(?:[\\s\\p{{Z}}\\x{{1c}}-\\x{{1f}}\\x{{85}}]+|$)'), lambda p: regexp_matches(p, '[^\\s\\p{{Z}}]')))) END"
 STRIPPED = "regexp_replace(coalesce({t}, ''), '^[\\s\\p{{Z}}\\x{{1c}}-\\x{{1f}}\\x{{85}}]+|[\\s\\p{{Z}}\\x{{1c}}-\\x{{1f}}\\x{{85}}]+$', '', 'g')"
 FORBIDDEN = " OR ".join(
     f"regexp_matches({{t}}, '(?i){p}')"

@@ -6,6 +6,7 @@ import os
 import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -107,6 +108,36 @@ def image_size(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+def png_problem(data: bytes) -> str | None:
+    """What is wrong with a PNG: a chunk that is cut or whose checksum differs, or pixels that don't unpack to its size; null if it is sound."""
+    at, packed, size, channels = 8, [], None, {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+    while True:
+        if at + 12 > len(data):
+            return "cut off"
+        n, kind = struct.unpack(">I4s", data[at : at + 8])
+        body, end = data[at + 8 : at + 8 + n], at + 12 + n
+        if end > len(data):
+            return "cut off"
+        if zlib.crc32(kind + body) != struct.unpack(">I", data[end - 4 : end])[0]:
+            return "wrong checksum"
+        if kind == b"IHDR" and n == 13:
+            size = struct.unpack(">IIBBBBB", body)
+        elif kind == b"IDAT":
+            packed.append(body)
+        elif kind == b"IEND":
+            break
+        at = end
+    if size is None:
+        return "no header"
+    try:
+        pixels = zlib.decompress(b"".join(packed))
+    except zlib.error:
+        return "pixels can't be unpacked"
+    width, height, depth, colour, *_, woven = size
+    row = 1 + (width * depth * channels.get(colour, 1) + 7) // 8
+    return None if woven or len(pixels) == row * height else "pixels are missing"
+
+
 def verified(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, width, height, error): image files with the size their header tells; error for files that aren't images or are cut.
 
@@ -116,8 +147,8 @@ def verified(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     def problem(data: bytes) -> str | None:
         if image_size(data) is None:
             return "not an image"
-        if data[:8] == b"\x89PNG\r\n\x1a\n" and b"IEND" not in data[-16:]:
-            return "cut off"
+        if data[:8] == b"\x89PNG\r\n\x1a\n" and (bad := png_problem(data)):
+            return bad
         if data[:2] == b"\xff\xd8" and b"\xff\xd9" not in data[-64:]:
             return "cut off"
         try:

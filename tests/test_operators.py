@@ -126,9 +126,9 @@ def test_row_errors(spark):
     df = spark.createDataFrame(rows, f"id long, messages {MESSAGES}, images array<string>, videos array<array<string>>")
     files = spark.createDataFrame([("x.jpg",)], "path string")
     got = {r.id: r.errors for r in quality.checked(df, "id", files).collect()}
-    assert got[1] == [] and got[3] == got[4] == ["missing or invalid messages"] and got[5] == ["missing media file: y.jpg"]
-    assert got[2] == ["empty assistant response", "image placeholder mismatch: placeholders=0, images=1"]
-    assert got[6] == ["unexpected message roles: assistant,user"] and got[7] == ["empty assistant response"]
+    assert got[1] == [] and got[3] == got[4] == ["no list of at least two messages"] and got[5] == ["media not found: y.jpg"]
+    assert got[2] == ["no answer", "0 marks for images, but 1 images"]
+    assert got[6] == ["roles out of order: assistant,user"] and got[7] == ["no answer"]
     report = quality.check_report(quality.checked(df, "id", files).withColumn("file", F.lit("f")), "file", "id", 2).first()
     assert report["rows"] == 7 and report["error_rows"] == 6 and len(report["errors"]) == 2 and report["errors"][0].startswith("2: ")
     with pytest.raises(ValueError):

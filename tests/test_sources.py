@@ -111,7 +111,7 @@ def test_pack_resolve_check(spark, tmp_path):
     assert cli.main(["check", "--bundle-root", moved, "--verify-images"]) == 1 and cli.main(["check", "--bundle-root", moved]) == 0
     os.remove(one)
     report = {r.file: r for r in pipelines.check(spark, moved).collect()}
-    assert report["train"].error_rows == 2 and "missing media file" in report["train"].errors[0]
+    assert report["train"].error_rows == 2 and "media not found" in report["train"].errors[0]
     with pytest.raises(FileNotFoundError):
         pipelines.resolve(spark, moved)
     with pytest.raises(FileNotFoundError):
@@ -156,7 +156,7 @@ def test_bundle_keeps_order_and_lines(spark, tmp_path):
     open(f"{out}/runtime_data/deep/er/many.jsonl", "w").write("\n".join(lines) + "\n")
     report = {r.file: r for r in pipelines.check(spark, out).collect()}["deep/er/many"]
     assert report.rows == 500 and report.audio_rows == 1 and report.error_rows == 2
-    assert report.errors[0] == "8: not a JSON object" and report.errors[1].startswith("10: missing media file: media/none.wav")
+    assert report.errors[0] == "8: not a JSON object" and report.errors[1].startswith("10: media not found: media/none.wav")
     with pytest.raises(ValueError, match="many.jsonl:8"):
         pipelines.resolve(spark, out, "runtime_data", "again")
 
@@ -342,6 +342,65 @@ def test_archives(spark, tmp_path):
     assert got == {"good.png": (7, 9, None), "cut.png": (64, 48, "cut off"), "text.jpg": (None, None, "not an image")}
 
 
+PILLOW = '''
+"""As much of Pillow as cutting needs, on images that are text."""
+class _Held:
+    def __init__(self, said): self.said = said
+    def __enter__(self): return self
+    def __exit__(self, *a): pass
+    def verify(self): pass
+    def convert(self, mode): return _Held([*self.said, mode])
+    def crop(self, box): return _Held([*self.said, list(box)])
+    def resize(self, size, how): return _Held([*self.said, list(size), how])
+    def save(self, path, kind, **options):
+        import json
+        with open(path, "w") as f:
+            json.dump([*self.said, kind, options], f)
+class Image:
+    class Resampling: LANCZOS = "lanczos"
+    @staticmethod
+    def open(path): return _Held([str(path)[-5:] if isinstance(path, str) else "bytes"])
+class ImageOps:
+    @staticmethod
+    def exif_transpose(image): return _Held([*image.said, "upright"])
+'''
+
+
+def test_render_cuts_where_pillow_is(spark, tmp_path):
+    crops = spark.createDataFrame([("src/a.png", "templates/x/a.jpg", 1, 2, 30, 31), ("src/b.png", "templates/x/b.jpg", 0, 0, 5, 5)], "source_image string, template_image string, left int, top int, right int, bottom int")
+    try:
+        import PIL  # noqa: F401
+    except ImportError:
+        with pytest.raises(Exception, match="Pillow"):
+            archives.render(crops, str(tmp_path)).collect()
+    (tmp_path / "p/PIL").mkdir(parents=True)
+    (tmp_path / "p/PIL/__init__.py").write_text(PILLOW)
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(cli.__file__)))!r})
+from frameloom.session import local_session
+from frameloom.sources import archives
+spark = local_session("x", "2", 2)
+crops = spark.createDataFrame([("src/a.png", "templates/x/a.jpg", 1, 2, 30, 31)], "source_image string, template_image string, left int, top int, right int, bottom int")
+print("made", [r.path for r in archives.render(crops, {str(tmp_path)!r}, 64).collect()])
+"""
+    said = subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": str(tmp_path / "p")}, capture_output=True, text=True, timeout=300)
+    assert "made" in said.stdout, said.stderr[-2000:]
+    assert json.load(open(tmp_path / "templates/x/a.jpg")) == ["a.png", "upright", "RGB", [1, 2, 30, 31], [64, 64], "lanczos", "JPEG", {"quality": 95, "subsampling": 0}]
+    assert os.listdir(tmp_path / "templates/x") == ["a.jpg"]
+
+
+def test_png_is_decoded():
+    good = png(7, 9)
+    assert archives.png_problem(good) is None
+    assert archives.png_problem(good[:-3]) == "cut off" and archives.png_problem(good[:20]) == "cut off"
+    assert archives.png_problem(good.replace(b"IDAT", b"IDAX")) == "wrong checksum"
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    head = good[:8] + chunk(b"IHDR", struct.pack(">IIBBBBB", 7, 9, 8, 0, 0, 0, 0))
+    assert archives.png_problem(head + chunk(b"IDAT", zlib.compress(b"\0" * 70)) + chunk(b"IEND", b"")) == "pixels are missing"
+    assert archives.png_problem(head + chunk(b"IDAT", b"xx") + chunk(b"IEND", b"")) == "pixels can't be unpacked"
+    assert archives.png_problem(good[:8] + chunk(b"IEND", b"")) == "no header"
+
+
 def test_image_sizes():
     assert archives.image_size(b"GIF89a" + struct.pack("<HH", 3, 4)) == (3, 4)
     assert archives.image_size(b"BM" + b"\0" * 16 + struct.pack("<ii", 5, -6)) == (5, 6)
