@@ -215,6 +215,28 @@ def oracle_sql() -> dict[str, str]:
       r AS (SELECT *, row_number() OVER (ORDER BY depth, {_key(79, 'g')}, g) AS rank FROM d WHERE len(ids) > 0)
       SELECT 'refer_kitti_' || sequence || '_e' || i AS sample_id, {val('sequence')} AS split, sentence AS answer,
         array_to_string(list_transform({_even('len(ids)', 6, 'ids')}, lambda x: 'out/frames/refer_kitti/' || sequence || '/' || printf('%06d', x) || '.png'), ',') AS frames FROM r WHERE rank <= 60"""
+    q["built_lasot"] = f"""WITH f AS (SELECT 's' || printf('%05d', s_suppkey) AS sequence, s_name, list_transform(range(1, s_suppkey % 7 + 6), lambda i: printf('%03d', i) || '.jpg') AS frames FROM supplier),
+      c AS (SELECT * FROM (VALUES (0, 'wide', 0.15), (1, 'long', 0.5), (2, 'full', 1.0)) v(position, scale, ratio)),
+      g AS (SELECT f.*, scale, position, least(len(frames) - 1, greatest(4, round_even((len(frames) - 1) * ratio, 0)::INTEGER)) AS endpoint FROM f, c),
+      h AS (SELECT *, array_to_string({_even('(endpoint + 1)', 5, 'frames')}, ',') AS chosen FROM g QUALIFY row_number() OVER (PARTITION BY sequence, chosen ORDER BY position) = 1),
+      k AS (SELECT *, 'lasot_' || sequence || '_' || scale || '_v0' AS sample_id FROM h)
+      SELECT sample_id, {val('sequence')} AS split, 'the ' || s_name AS answer, chosen AS frames, 'cut/' || sequence || '.jpg' AS images FROM k QUALIFY row_number() OVER (ORDER BY {_key(73, 'sample_id')}, sample_id) <= 7"""
+    q["built_lamot"] = f"""WITH a AS (SELECT s_suppkey AS i, 'n' || s_nationkey AS sequence, CASE WHEN s_suppkey % 3 = 0 THEN 'val' ELSE 'train' END AS split, s_name, range(1, s_suppkey % 9 + 4) AS ids FROM supplier),
+      b AS (SELECT *, split || '/MOT17/' || sequence || '_' || i || '.json#0' AS key, {_even('len(ids)', 6, 'ids')} AS chosen FROM a),
+      k AS (SELECT *, row_number() OVER (ORDER BY {_key(83, 'key')}, key) AS rank FROM b)
+      SELECT 'lamot_' || sequence || '_' || i || '_' || printf('%04d', rank - 1) AS sample_id, split, 'follow ' || s_name AS answer,
+        array_to_string(list_transform(chosen, lambda x: sequence || '/img1/' || printf('%06d', x) || '.jpg'), ',') AS frames FROM k WHERE rank <= 8 AND list_max(chosen) <= 10"""
+    crop = """c AS (SELECT *, greatest(2.0, least(greatest(w, h) * scale, iw, ih)) AS side FROM b),
+      d AS (SELECT *, greatest(0.0, least(x + w / 2 - side / 2, iw - side)) AS l, greatest(0.0, least(y + h / 2 - side / 2, ih - side)) AS t FROM c)"""
+    corners = "concat_ws(',', greatest(0, floor(l))::INTEGER, greatest(0, floor(t))::INTEGER, least(iw, ceil(l + side))::INTEGER, least(ih, ceil(t + side))::INTEGER) AS crop"
+    q["templates_tracking"] = f"""WITH b AS (SELECT 's' || printf('%05d', s_suppkey) AS sequence, s_name, s_suppkey % 50 AS x, s_suppkey % 30 + 1 AS y, s_suppkey % 20 + 4 AS w, s_suppkey % 9 + 5 AS h, 64.0 AS iw, (s_suppkey % 20 + 40)::DOUBLE AS ih, 2.0 AS scale FROM supplier), {crop}
+      SELECT 'tnl2k_' || sequence AS sample_id, sequence, NULL::INTEGER AS source_index, 'tnl2k/' || sequence || '/img/001.jpg' AS source_image, 'templates/tnl2k/tnl2k_' || sequence || '.jpg' AS template_image, {corners}, 'The ' || s_name AS source_text FROM d"""
+    q["templates_small"] = f"""WITH p AS (SELECT p_name, p_size, p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i, 'p' || p_partkey % 200 || '.png' AS image FROM part),
+      r AS (SELECT *, {_key(42, 'i')} AS hash FROM p), u AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY hash, i) > 1 AS again FROM r),
+      k AS (SELECT * FROM u QUALIFY row_number() OVER (ORDER BY again, hash, i) <= 300),
+      b AS (SELECT *, (p_partkey % 80)::DOUBLE AS x, p_size::DOUBLE AS y, p_size / 2.0 + 1 AS w, 6.0::DOUBLE AS h, 120.0 AS iw, 90.0 AS ih, 3.0 AS scale FROM k), {crop},
+      e AS (SELECT *, 'sorec_' || printf('%06d', i) || '_' || substr(sha1(i || ':' || image || ':(' || array_to_string([x, y, w::DOUBLE, h], ', ') || ')'), 1, 10) AS sample_id FROM d)
+      SELECT sample_id, NULL::VARCHAR AS sequence, i::INTEGER AS source_index, 'sorec/Images/deep/' || image AS source_image, 'templates/sorec/' || sample_id || '.jpg' AS template_image, {corners}, trim(p_name) AS source_text FROM e"""
     moved = lambda x: f"array_to_string(list_transform({x}, lambda p: {_bundle('p')}), ',')"
     q["packed_fields"] = f"WITH {SAMPLES} SELECT sample_key, {moved('images')} AS images, {moved('flatten(videos)')} AS videos, array_to_string(list_transform(messages, lambda m: concat_ws(':', m.role, length(m.content))), ',') AS said FROM t"
     q["checked_lines"] = r"""WITH l AS (SELECT regexp_replace(coalesce(row_json, ''), '[\r\n]+', ' ', 'g') AS v, row_number() OVER (ORDER BY sample_key) AS line FROM built_samples)

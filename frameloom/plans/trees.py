@@ -118,6 +118,71 @@ def built_refer_kitti(spark: SparkSession, sf: str) -> DataFrame:
     return samples.select(*_said(samples), F.array_join(F.get("row.videos", 0), ",").alias("frames"))
 
 
+def _tracks(spark: SparkSession, sf: str, root: str, name: str) -> DataFrame:
+    """Suppliers as sequences of 5 to 11 frames, each with a box and a line of text; (s_suppkey, sequence)."""
+    s = read_table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("s"), F.format_string("%05d", "s_suppkey")).alias("sequence"), "s_name")
+    each = F.transform(F.sequence(F.lit(1).cast("long"), F.col("s_suppkey") % 7 + 5), lambda i: F.struct(F.concat(F.lit("img/"), F.format_string("%03d", i), F.lit(".jpg")).alias("file"), F.lit("x").alias("text")))
+    k = F.col("s_suppkey")
+    box = F.concat_ws(",", *[x.cast("string") for x in (k % 50, k % 30 + 1, k % 20 + 4, k % 9 + 5)])
+    more = F.array(F.struct(F.lit("groundtruth.txt").alias("file"), F.concat(box, F.lit("\n1,1,1,1")).alias("text")), F.struct(F.lit("language.txt").alias("file"), F.concat(F.lit(" The "), "s_name", F.lit(" \nmore")).alias("text")))
+    rows = s.select("sequence", F.explode(F.concat(each, more)).alias("f"))
+    _files(rows.select(F.concat_ws("/", F.lit(name), "sequence", "f.file").alias("path"), "f.text"), root)
+    return s
+
+
+def built_lasot(spark: SparkSession, sf: str) -> DataFrame:
+    """Prefixes of sequences on three scales, with the cut-outs of a manifest."""
+    root = _root(spark)
+    s = _tracks(spark, sf, root, "lasot")
+    record = F.to_json(F.struct("sequence", F.concat(F.lit("cut/"), "sequence", F.lit(".jpg")).alias("template_image"), F.concat(F.lit("the "), "s_name").alias("source_text")))
+    sinks.write_json_files(s.select(F.lit("lasot").alias("name"), F.col("s_suppkey").alias("line"), record.alias("value")), f"{root}/templates")
+    samples = pipelines.build_lasot(pipelines.Build(spark, root, quotas={"lasot": 7}, scales=("wide", "long", "full")))
+    return samples.select(*_said(samples), F.array_join(F.transform(F.get("row.videos", 0), X.path_name), ",").alias("frames"), F.array_join("row.images", ",").alias("images"))
+
+
+def built_lamot(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as annotation files of 3 to 11 frames over nations' sequences, of which ten frames are there."""
+    root = _root(spark)
+    s = read_table(spark, sf, "supplier")
+    k = F.col("s_suppkey")
+    targets = F.map_from_entries(F.transform(F.sequence(F.lit(1).cast("long"), k % 9 + 3), lambda i: F.struct(i.cast("string").alias("key"), F.array(F.lit(1)).alias("value"))))
+    row = F.to_json(F.struct(F.concat(F.lit("follow "), "s_name").alias("language"), targets.alias("targets")))
+    path = F.concat(F.when(k % 3 == 0, "lamot/val").otherwise("lamot/train"), F.lit("/MOT17/n"), "s_nationkey", F.lit("_"), k, F.lit(".json"))
+    _files(s.select(path.alias("path"), row.alias("text")), root)
+    frames = read_table(spark, sf, "nation").select(F.concat(F.lit("lamot/frames/train/n"), "n_nationkey", F.lit("/img1/")).alias("home"), F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i"))
+    _files(frames.select(F.concat("home", X.numbered_frame(F.col("i"), ".jpg")).alias("path"), F.lit("x").alias("text")), root)
+    samples = pipelines.build_lamot(pipelines.Build(spark, root, quotas={"lamot": 8}))
+    return samples.select(*_said(samples), F.array_join(F.transform(F.get("row.videos", 0), lambda p: F.substring_index(p, "/", -3)), ",").alias("frames"))
+
+
+def _templates(records: DataFrame) -> DataFrame:
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return records.select("sample_id", "sequence", "source_index", "source_image", "template_image", text(F.col("crop_xyxy")).alias("crop"), "source_text")
+
+
+def templates_tracking(spark: SparkSession, sf: str) -> DataFrame:
+    """Template records of sequences, from their first frame, box and line of text."""
+    root = _root(spark)
+    s = _tracks(spark, sf, root, "tnl2k")
+    sizes = s.select(F.concat(F.lit(f"{root}/tnl2k/"), "sequence", F.lit("/img/001.jpg")).alias("path"), F.lit(64).alias("width"), (F.col("s_suppkey") % 20 + 40).cast("int").alias("height"))
+    return _templates(pipelines.tracking_templates(spark, root, "tnl2k", "img", sizes=sizes))
+
+
+def templates_small(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as small objects on 200 images: first one of each image, then repeats, up to 300."""
+    root = _root(spark)
+    parts = read_table(spark, sf, "part").select("p_partkey", F.concat(F.lit("p"), F.col("p_partkey") % 200, F.lit(".png")).alias("image"), "p_size", "p_name").orderBy("p_partkey")
+    os.makedirs(f"{root}/sorec")
+    with open(f"{root}/sorec/train.json", "w", encoding="utf-8") as f:
+        for i, r in enumerate(parts.toLocalIterator()):
+            f.write(("," if i else "[") + js.dumps({"image": r["image"], "bbox": [float(r["p_partkey"] % 80), float(r["p_size"]), r["p_size"] / 2 + 1, 6.0], "ref": f" {r['p_name']} "}))
+        f.write("]")
+    names = parts.select("image").distinct()
+    _files(names.select(F.concat(F.lit("sorec/Images/deep/"), "image").alias("path"), F.lit("x").alias("text")), root)
+    sizes = names.select(F.concat(F.lit(f"{root}/sorec/Images/deep/"), "image").alias("path"), F.lit(120).alias("width"), F.lit(90).alias("height"))
+    return _templates(pipelines.small_object_templates(spark, root, f"{root}/sorec/train.json", f"{root}/sorec/Images", sizes, 300))
+
+
 def packed_fields(spark: SparkSession, sf: str) -> DataFrame:
     """The rows of built_samples with their media moved into a bundle, as lines of JSON that keep all else."""
     raw = read_table(spark, sf, "built_samples").select("sample_key", F.col("row_json").alias("value")).where("value is not null")
@@ -138,7 +203,7 @@ def checked_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read.select(F.col("line").cast("long").alias("line"), "ordinal", F.col("error").isNull().alias("good"))
 
 
-NAMES = "built_d3 built_sorec built_mevis built_refer_kitti packed_fields checked_lines".split()
+NAMES = "built_d3 built_sorec built_mevis built_refer_kitti built_lasot built_lamot templates_tracking templates_small packed_fields checked_lines".split()
 
 
 def queries() -> dict[str, Query]:
