@@ -82,9 +82,10 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT
     """
     bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS))
     there = df.where(F.col(key).isNotNull())
-    counts = there.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-    limit = min(max(least, int(share * sum(r["n"] for r in counts))), max(least, HOT_MOST))
-    heavy = [r["b"] for r in counts if r["n"] >= limit]
+    floor = min(least, HOT_MOST)
+    counts = there.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") >= floor, F.struct("b", "n"))).alias("large")).first()  # at most BUCKETS
+    limit = min(max(least, int(share * (counts["n"] or 0))), max(least, HOT_MOST))
+    heavy = [r["b"] for r in counts["large"] if r["n"] >= limit]
     if not heavy:
         return there.select(key).limit(0).withColumn("n", F.lit(0).cast("long"))
     return there.where(bucket.isin(heavy)).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= limit)

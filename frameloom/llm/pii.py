@@ -10,6 +10,7 @@ after such a phrase. What exceeds the disclosure thresholds is replaced; names o
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -198,12 +199,15 @@ _COLUMNS = ["doc_id", "kind", "a", "b", "terms", "name", "phrases", "titled", "n
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(doc_id, text) to spans, candidates, and counts of words: all occurrences, and those about labelled identity numbers."""
-    counts: dict[str, list[int]] = {}
+    counts: Counter = Counter()
+    labelled: Counter = Counter()
 
     def rows(out: list, flush: bool) -> pd.DataFrame:
         if flush:
-            out += [(None, "term", None, None, [t], None, None, None, n, k) for t, (n, k) in counts.items()]
+            out += [(None, "term", None, None, [t], None, None, None, n, labelled[t]) for t, n in counts.items()]
+            out += [(None, "term", None, None, [t], None, None, None, 0, n) for t, n in labelled.items() if t not in counts]
             counts.clear()
+            labelled.clear()
         return pd.DataFrame(out, columns=_COLUMNS, dtype=object)
 
     for pdf in batches:
@@ -211,18 +215,13 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             spans = typed(text)
             clear = masked(text, spans) if spans else text
-            for t in _WORDS.findall(clear.lower()):
-                if (c := counts.get(t)) is None:
-                    counts[t] = [1, 0]
-                else:
-                    c[0] += 1
+            counts.update(_WORDS.findall(clear.lower()))
             for a, b, kind in spans:
                 words = None
                 if kind == "id":
                     words = window(clear, a, b)
                 elif kind == "id_number":
-                    for t in window(clear, a, b):
-                        counts.setdefault(t, [0, 0])[1] += 1
+                    labelled.update(window(clear, a, b))
                 out.append((key, kind, a, b, words, None, None, None, None, None))
             out += [(key, "name", *c, None, None) for c in candidates(clear)]
         yield rows(out, len(counts) > HELD)
