@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json as js
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -25,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _root(spark: SparkSession) -> str:
     """A new folder, as a path of this machine's file system, which all executors share."""
-    path = scratch(spark, f"tree-{uuid.uuid4().hex}").removeprefix("file:")
+    path = re.sub("^file:/+", "/", scratch(spark, f"tree-{uuid.uuid4().hex}"))
     os.makedirs(path)
     return path
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import small
+from ..session import small, stage
 from .files import plain_path
 
 
@@ -70,7 +70,7 @@ def numbered_lines(spark: SparkSession, path: str, schema: str, raw: bool = Fals
         per = counts.groupBy(F.col("__file").alias("__name")).agg(F.sum("rows").alias("__n"))
         places = per.select("__name", F.coalesce(F.sum("__n").over(Window.orderBy("__name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"))  # a row a file
         blocks = blocks.join(places, F.col("__file") == F.col("__name")).withColumn("__rows", F.col("__rows") + F.col("__start"))
-    blocks = small(blocks.select("__file", "__at", "__first", "__base", "__rows"))
+    blocks = small(stage(blocks.select("__file", "__at", "__first", "__base", "__rows")))  # written, so files are read twice in all
     met = read.where(there).join(blocks, (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__at")))
     lines_ = met.withColumn("line", (F.col("__base") + F.col("__id") - F.col("__first") + 1).cast("int"))
     if ordinal:

@@ -23,21 +23,20 @@ def write_lines(df: DataFrame, path: str, order: str | None = None, mode: str =
 
 
 def write_file(df: DataFrame, path: str, order: str | None = None, keep_order: bool = False) -> int:
-    """One named JSON-lines file, in order, written on the driver row by row and renamed when complete; the number of rows.
+    """One named JSON-lines file, in order, renamed when it is complete; the number of rows. See write_json_files.
 
     The column of the order is left out unless keep_order.
-
-    For deliveries that need a single file: rows stream through the driver, at no time more than one partition of them.
     """
-    rows = (df.orderBy(order) if order else df).select(F.to_json(F.struct(*[c for c in df.columns if keep_order or c != order])).alias("value"))
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    n, half = 0, f"{path}.part"
-    with open(half, "w", encoding="utf-8", newline="\n") as f:
-        for r in rows.toLocalIterator():
-            f.write(r["value"] + "\n")
-            n += 1
-    os.replace(half, path)
-    return n
+    folder, name = os.path.split(os.path.abspath(path))
+    stem = name.removesuffix(".jsonl")
+    if stem == name:
+        raise ValueError("the file's name ends with .jsonl")
+    value = F.to_json(F.struct(*[c for c in df.columns if keep_order or c != order])).alias("value")
+    made = write_json_files(df.select(F.lit(stem).alias("name"), (F.col(order) if order else F.lit(0)).alias("line"), value), folder)
+    if not made:
+        os.makedirs(folder, exist_ok=True)
+        open(path, "w").close()
+    return made.get(stem, 0)
 
 
 def write_json_files(df: DataFrame, root: str, name: str = "name", order: str = "line", value: str = "value") -> dict[str, int]:
