@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import small, stage
+from ..session import BROADCAST_ROWS, small, stage
 from . import common as C
 
 #: Words of a shingle, and of the shortest shared passage.
@@ -73,11 +73,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text:
     spot = lambda: F.concat_ws(":", F.col("item_id").cast("string"), F.col("there").cast("string")).alias("spot")
     held = tokens.join(items, "item_id").select("item_id", F.col("at").alias("there"), F.col("w").alias("iw")).select(spot(), "iw").dropDuplicates(["spot"])
     # the window of an item's size around a match: before it at most as many words as the item has before its own shingle, and so after it
-    found = (
-        C.spread_join(there, tokens.select("shingle", F.col("at").alias("there"), "size", "item_id"), "shingle", C.hot_keys(there, "shingle"))
-        .where(F.least("at", "there") + F.least(F.col("length") - F.col("at"), F.col("size") - F.col("there")) >= RUN)
-        .select("doc_id", "item_id", "at", "there")
-    )
+    wanted = tokens.select("shingle", F.col("at").alias("there"), "size", "item_id")
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    met = there.join(F.broadcast(wanted), "shingle") if few else C.spread_join(there, wanted, "shingle", C.hot_keys(there, "shingle"))
+    room = F.least("at", "there") + F.least(F.col("length") - F.col("at"), F.col("size") - F.col("there"))
+    found = met.where(room >= RUN).select("doc_id", "item_id", "at", "there")
     found = stage(found)
     # few documents have a match; only these are read again for the words around it, and their words are parted after the join
     spots = small(stage(found.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "at", "there")).alias("spots"))))
@@ -85,8 +85,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text:
     near = raw.select("doc_id", C.words(F.col("text")).alias("w"), "spots").select("doc_id", "w", F.inline_outer("spots"))
     span = F.greatest(F.lit(0), F.col("at") - F.col("there"))
     # written first, as the condition below would else be pushed down and part the words again for each use; an item may stand in a third of all documents
-    hot = C.hot_keys(found.select(spot()), "spot")
-    window = C.lookup(near.withColumn("spot", spot()), held, "spot", hot).select("doc_id", "item_id", (F.col("at") - span).alias("at"), "there", F.slice("w", span + 1, F.size("iw") + SHINGLE).alias("w"), "iw")
+    held, near = stage(held), near.withColumn("spot", spot())
+    beside = near.join(F.broadcast(held), "spot") if held.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else C.lookup(near, held, "spot", C.hot_keys(found.select(spot()), "spot"))
+    window = beside.select("doc_id", "item_id", (F.col("at") - span).alias("at"), "there", F.slice("w", span + 1, F.size("iw") + SHINGLE).alias("w"), "iw")
     window = stage(window)
     reach = RUN - SHINGLE
     same = lambda d: F.get(F.col("w"), F.col("at") + d).eqNullSafe(F.get(F.col("iw"), F.col("there") + d)) & F.get(F.col("w"), F.col("at") + d).isNotNull()
