@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import threading
 import time
 import uuid
 from collections.abc import Iterator
@@ -159,11 +160,11 @@ class Registry:
 
     The table lies in a folder that all executors share, one part for each insert, so an insert only appends. What earlier runs committed there
     counts: their identifiers keep their values, whatever the seed now, and the threshold never falls below theirs. Runs at the same time take turns: an
-    insert holds a file that only one of them can create, and sees what the others have committed. A file older than LEASE seconds is of a run that
-    failed; PATIENCE seconds are waited for others.
+    insert holds a file that only one of them can create and that it keeps renewing, and sees what the others have committed. A file that wasn't renewed
+    for LEASE seconds is of a run that failed; PATIENCE seconds are waited for others.
     """
 
-    LEASE, PATIENCE = 6 * 3600, 3 * 3600
+    LEASE, PATIENCE = 90, 3 * 3600
 
     SCHEMA = "id string, u double"
     THRESHOLDS = "threshold double"
@@ -209,10 +210,22 @@ class Registry:
                 if "NotFound" not in str(e):
                     raise
             time.sleep(0.5)
+        over = threading.Event()
+
+        def renew() -> None:
+            while not over.wait(max(1.0, self.LEASE / 4)):
+                out = files.create(lock, True)
+                out.writeBytes(token)
+                out.close()
+
+        keeper = threading.Thread(target=renew, daemon=True)
+        keeper.start()
         try:
             self.refresh()
             yield
         finally:
+            over.set()
+            keeper.join()
             files.delete(lock, False)
 
     def _names(self, path: str) -> list[str]:

@@ -1,4 +1,5 @@
 import threading
+import time
 
 import pytest
 from collections import Counter
@@ -102,6 +103,16 @@ def test_registry_takes_turns(spark, tmp_path):
     assert sampling.Registry(spark, path).table().count() == 4
 
 
+def test_a_turn_is_renewed(spark, tmp_path):
+    registry = sampling.Registry(spark, str(tmp_path / "r"))
+    registry.LEASE = 2
+    with registry.turn():
+        first = (tmp_path / "r" / "_turn").stat().st_mtime
+        time.sleep(2.6)
+        assert (tmp_path / "r" / "_turn").stat().st_mtime > first
+    assert not (tmp_path / "r" / "_turn").exists()
+
+
 def test_stable_over_runs(spark, tmp_path):
     path = str(tmp_path / "r")
     made = lambda n: spark.createDataFrame([(i, "d", None, f"id_{i}", i // 100, None, None, None) for i in range(n)], BUILT)
