@@ -6,16 +6,18 @@ if their ending is incomplete. Texts cut during transfer have no length in commo
 ending decides, with the source's share of unmistakable cuts as prior in place of the hazard's excess.
 
 The ending model is fitted to texts that are known to be whole: how often each word (after the one before it) ends a sentence, and how often each
-form of ending (hanging sign, broken word, sentence without stop ...) stands at the end of whole texts and of the same texts cut at random.
+form of ending (hanging sign, broken word, sentence without stop ...) stands at the end of all whole texts and of the same texts cut at random.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,25 +35,28 @@ FDR, LIFT = 0.001, 2.5
 ODDS, SURE = 1.0, 100.0
 #: A word pair seen less often says nothing; its last word is looked at alone.
 PAIRS = 30
-#: Whole texts to which the forms of endings are fitted; all other counts are over all texts.
-FIT = 20_000
-#: Texts from elsewhere, known to be whole, from which the model of words at ends learns too.
-LEXICON = 20_000
 #: Letters and digits from which a text that its prompt holds repeats it; fewer may stand in both by chance.
 REPEATED = 16
 #: Rows of token counts that a task keeps before it passes them on.
 HELD = 100_000
+#: Bits of a string's number in a Chain, which has at most 3 for each of 2 * HELD + 2 tokens.
+WIDE = 20
+#: How the last token of a text counts in a Chain: as any other, as an end, as an end of no known word, not at all; a stop makes it an end.
+GOES_ON, WHOLE, ALONE, OPEN = range(4)
 #: Answers that stand for no answer.
 FILLERS = ("", "-", "--", "...", "…", '""', "''", "[]", "{}", "()", "null", "none", "nil", "nan", "n/a", "na", "n.a.", "<empty>", "<none>", "<null>", "(no answer)", "(empty)", "(none)", "no answer", "empty", "undefined", "tbd", "?")
 #: Signs with which a text ends as intended.
-CLOSED = re.compile(r"[.!?。！？…»”\"'’)\]}>]\Z")
+CLOSED = frozenset(".!?。！？…»”\"'’)]}>")
 _ENDS = re.compile(r"[.!?。][)\"'’”\]}]*\Z")
 _NUMBER = re.compile(r"\W*\d+\W*\Z")
-_HANGING = re.compile(r"[,;:(\[{\-–—]\Z")
+_HANGING = frozenset(",;:([{-–—")
 _HELD = re.compile(r'\{\s*"[^"]*"\s*:\s*"')
 #: Letters of scripts without spaces between words: Thai to Lao, Chinese and Japanese.
 _DENSE = re.compile("[\u0e00-\u0eff\u2e80-\u9fff]")
 _FILLERS = frozenset(FILLERS)
+_LONGEST = max(map(len, FILLERS))
+#: Forms of endings (see form) of which the last words tell more; those of all others aren't looked at.
+LOOSE = ("plain", "sentence")
 
 
 def bare(c: Column) -> Column:
@@ -84,6 +89,11 @@ def inner(text: str) -> str:
     return held.removesuffix('"') or text
 
 
+def _fills(text: str) -> bool:
+    """Whether a text without white space around it is a filler."""
+    return len(text) <= _LONGEST and text.lower() in _FILLERS
+
+
 def stem(token: str) -> str:
     """A token in lower case without signs around it."""
     token = token.lower()
@@ -121,56 +131,136 @@ class Tokens(dict):
         return made
 
 
+class Chain(dict):
+    """Counts of tokens by the kind of the one before. Of each token met: its number; tokens are counted by arrays of those, some at once."""
+
+    def __init__(self):
+        super().__init__()
+        self.info, self.strings, self.made = Tokens(), {"": 0}, array("q")
+        self.begin()
+
+    def begin(self) -> None:
+        #: Tokens not counted yet, and of their pieces of text: the place after the last, how many of the first were counted before, how the last counts.
+        self.tokens, self.ends, self.skips, self.modes = array("q"), [], [], []
+        self.keys, self.times = np.zeros(0, "int64"), np.zeros(0, "int64")
+
+    def __missing__(self, token: str) -> int:
+        word, first, inside, end = self.info[token]
+        self.made.extend([*(self.strings.setdefault(x, len(self.strings)) for x in (word, first, inside)), end])
+        self[token] = n = len(self)
+        return n
+
+    def add(self, parts: list[str], skip: int, mode: int) -> None:
+        """A text, or a piece of one that begins with skip tokens counted before; its last token is one of GOES_ON, WHOLE, ALONE, OPEN."""
+        self.tokens.extend(map(self.__getitem__, parts))
+        self.ends.append(len(self.tokens))
+        self.skips.append(skip)
+        self.modes.append(mode)
+        if len(self.tokens) > HELD:
+            self.count()
+
+    def full(self) -> bool:
+        return len(self) > HELD or len(self.keys) > 2 * HELD
+
+    def count(self) -> None:
+        if not self.ends:
+            return
+        word, first, inside, stop = np.array(self.made, "int64").reshape(-1, 4)[np.array(self.tokens, "int64")].T
+        last = np.array(self.ends) - 1
+        start = np.ones(len(word), bool)
+        start[1:] = stop[:-1] > 0
+        start[last[:-1] + 1] = True
+        kind = np.where(start, first, inside)
+        before = np.zeros(len(word), "int64")
+        before[1:] = kind[:-1]
+        before[last[:-1] + 1] = 0
+        final, kept, mode, skip = stop > 0, np.ones(len(word), bool), np.array(self.modes), np.array(self.skips)
+        first_of = np.concatenate([[0], last[:-1] + 1])
+        kept[first_of[skip > 0]] = False
+        kept[first_of[skip > 1] + 1] = False
+        # of a text that may go on, only the place of its end counts, or nothing
+        unsure = ~final[last]
+        word = word.copy()
+        word[last[unsure & (mode == ALONE)]] = 0
+        kept[last[unsure & (mode == OPEN)]] = False
+        final[last[mode != GOES_ON]] = True
+        keys, times = np.unique(((before << WIDE | kind) << WIDE | word)[kept] << 1 | final[kept], return_counts=True)
+        self.tokens, self.ends, self.skips, self.modes = array("q"), [], [], []
+        self.keys, places = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        self.times = np.bincount(places, np.concatenate([self.times, times])).astype("int64")
+
+    def taken(self) -> pd.DataFrame:
+        """(before, kind, word, total, final) of all tokens so far; the counts start anew."""
+        self.count()
+        names = np.array(list(self.strings), object)
+        part = lambda i: names[self.keys >> (1 + WIDE * i) & ((1 << WIDE) - 1)]
+        made = pd.DataFrame({"before": part(2), "kind": part(1), "word": part(0), "total": self.times, "final": np.where(self.keys & 1, self.times, 0)})
+        if len(self) > HELD:
+            self.clear()
+            self.strings, self.made = {"": 0}, array("q")
+        self.begin()
+        return made
+
+
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(text, whole, alone) to (before, kind, word, total, final): counts of a task's tokens; whole texts' last tokens are ends.
+    """(text, whole, alone, at) to (role, form, before, kind, word, total, final): counts of a task's tokens (role null), whole texts' last tokens
+    being ends; and of the endings of texts with an at, as they are (role whole) and cut after so many characters (role cut).
 
     Whether the last token of another text is an end isn't known, so only a stop makes it one; without whole texts (alone) it counts as one all the
     same, as few texts are cut, but doesn't make its word known.
     """
-    info, seen = Tokens(), {}
+    chain, ends = Chain(), {}
+    names = ["role", "form", "before", "kind", "word", "total", "final"]
 
-    def rows() -> pd.DataFrame:
-        made = pd.DataFrame([(*k, v & 0xFFFFFFFF, v >> 32) for k, v in seen.items()], columns=["before", "kind", "word", "total", "final"])
-        seen.clear()
-        return made
+    def rows() -> Iterator[pd.DataFrame]:
+        yield chain.taken().assign(role=None, form=None)[names]
+        yield pd.DataFrame([(*k, n, 0) for k, n in ends.items()], columns=names)
+        ends.clear()
+
+    def ended(role: str, text: str, parts: list[str]) -> None:
+        how = form(text, parts, chain.info)
+        key = (role, how, *(_ending(parts, chain.info) if how in LOOSE else ("", "", "")))
+        ends[key] = ends.get(key, 0) + 1
 
     for pdf in batches:
-        for raw, whole, alone in zip(pdf["text"], pdf["whole"], pdf["alone"], strict=True):
+        for raw, whole, alone, at in zip(pdf["text"], pdf["whole"].tolist(), pdf["alone"].tolist(), pdf["at"].tolist(), strict=True):
             text = bare_text(raw)
-            if text.lower() in _FILLERS:
-                continue
-            parts = inner(text).split()
-            before, start, last = "", True, len(parts) - 1
-            for i, token in enumerate(parts):
-                word, first, inside, end = info[token]
-                kind = first if start else inside
-                if i < last or whole or end:
-                    key = (before, kind, word)
-                    seen[key] = seen.get(key, 0) + (0x100000001 if end or i == last else 1)
-                elif alone:
-                    key = (before, kind, "")
-                    seen[key] = seen.get(key, 0) + 0x100000001
-                before, start = kind, end
-        if len(seen) > HELD:
-            yield rows()
-    yield rows()
-
-
-def context_model(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """From texts (text, whole: known to be complete, alone: there are no such): counts by (before, kind), by kind, and the words known, with the share of final tokens."""
+            if not _fills(text):
+                parts = inner(text).split()
+                # very long texts in pieces, each with the two tokens before it, which tell its first one's kind
+                for i in range(0, len(parts), HELD):
+                    chain.add(parts[max(0, i - 2) : i + HELD], min(i, 2), GOES_ON if i + HELD < len(parts) else WHOLE if whole else ALONE if alone else OPEN)
+                    if chain.full():
+                        yield from rows()
+                if at:
+                    ended("whole", text, parts)
+            if at and not _fills(text := bare_text(raw[:at])):
+                ended("cut", text, inner(text).split())
+            if len(ends) > HELD:
+                yield from rows()
+    yield from rows()
+
+
+def context_model(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float, DataFrame]:
+    """From all texts (text, whole: known to be complete, alone: there are no such, at: where to cut those to which the forms of endings are fitted, else
+    0): counts by (before, kind), by kind, and the words known, with the share of final tokens, and counts n of the endings (role, form, word, kind, before)."""
     made = [F.sum("total").alias("total"), F.sum("final").alias("final")]
-    counted = texts.where("text is not null").mapInPandas(_counts, "before string, kind string, word string, total long, final long")
-    seen = stage(counted.groupBy("before", "kind", "word").agg(*made))
+    counted = texts.where("text is not null").mapInPandas(_counts, "role string, form string, before string, kind string, word string, total long, final long")
+    both = stage(counted.groupBy("role", "form", "before", "kind", "word").agg(*made))
+    seen = both.where("role is null")
     pair = seen.groupBy("before", "kind").agg(*made).where(F.col("total") >= PAIRS)
     alone = seen.groupBy("kind").agg(*made)
     known = seen.where("word != ''").select("word").distinct()
     whole = seen.agg(F.sum("final"), F.sum("total")).first()
-    return pair, alone, known, (whole[0] or 0) / (whole[1] or 1) or 0.05
+    ends = both.where("role is not null").select("role", "form", "word", "kind", "before", F.col("total").alias("n"))
+    return pair, alone, known, (whole[0] or 0) / (whole[1] or 1) or 0.05, ends
 
 
 def _dense(text: str) -> bool:
     """Whether most letters are of a script that writes no spaces between words."""
-    n = len(_DENSE.findall(text))
+    if text.isascii():
+        return False
+    n = len(_DENSE.findall(text)) if _DENSE.search(text) else 0
     return n > 0 and 2 * n >= sum(map(str.isalpha, text))
 
 
@@ -180,39 +270,45 @@ def form(text: str, parts: list[str], info: Tokens) -> str:
     end = parts[-1] if parts else ""
     if text[0] in "[{" and text[-1] not in "]}":
         return "open"
-    if CLOSED.search(text) or (text[0] == "{" and CLOSED.search(end)):
+    if text[-1] in CLOSED or (text[0] == "{" and end[-1:] in CLOSED):
         return "closed-dense" if _dense(text) else "closed"
-    if _HANGING.search(end) or text.count("(") > text.count(")"):
+    if end[-1:] in _HANGING or text.count("(") > text.count(")"):
         return "hanging"
     if _dense(text):
         return "dense"
     # a stop before a capital letter: the text is written in sentences, so its last one has a stop too
-    if len(parts) > 3 and any(len(x) > 3 and info[x][3] and next((c for c in y if c.isalnum()), "").isupper() for x, y in zip(parts, parts[1:], strict=False)):
+    if len(parts) > 3 and any(x in text for x in ".!?。") and any(len(x) > 3 and info[x][3] and next((c for c in y if c.isalnum()), "").isupper() for x, y in zip(parts, parts[1:], strict=False)):
         return "sentence"
     return "plain"
 
 
+def _ending(parts: list[str], info: Tokens) -> tuple[str, str, str]:
+    """The kind of a text's last word but one, that of the last one, and the last word."""
+    n = len(parts)
+    if not n:
+        return "", "", ""
+    word, first, inside, _ = info[parts[-1]]
+    if n == 1:
+        return "", first, word
+    _, first_before, inside_before, end = info[parts[-2]]
+    return first_before if n == 2 or info[parts[-3]][3] else inside_before, first if end else inside, word
+
+
 def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, source, role, raw, prompt) to the same without texts, with sizes and what tells of the ending; fillers are left out."""
+    """(key, source, raw, prompt) to the same without texts, with sizes and what tells of the ending; fillers are left out."""
     info = Tokens()
-    names = ["key", "source", "role", "characters", "bytes", "words", "word", "kind", "before", "form", "copied"]
+    names = ["key", "source", "characters", "bytes", "words", "word", "kind", "before", "form", "copied"]
     for pdf in batches:
         out = []
-        for key, source, role, raw, prompt in zip(pdf["key"], pdf["source"], pdf["role"], pdf["raw"], pdf["prompt"], strict=True):
+        for key, source, raw, prompt in zip(pdf["key"], pdf["source"], pdf["raw"], pdf["prompt"], strict=True):
             text = bare_text(raw)
-            if text.lower() in _FILLERS:
+            if _fills(text):
                 continue
             parts = inner(text).split()
-            n, word, kind, before = len(parts), "", "", ""
             how = form(text, parts, info)
-            if n:
-                word, first, inside, _ = info[parts[-1]]
-                kind = first if n == 1 or info[parts[-2]][3] else inside
-            if n > 1:
-                _, first, inside, _ = info[parts[-2]]
-                before = first if n == 2 or info[parts[-3]][3] else inside
+            before, kind, word = _ending(parts, info) if how in LOOSE else ("", "", "")
             copied = how[:6] != "closed" and bool(prompt) and len(said := _letters(text)) >= REPEATED and said in _prompt_letters(prompt)
-            out.append((key, source, role, len(raw), len(raw.encode()), len(raw.split()), word, kind, before, how, copied))
+            out.append((key, source, len(raw), len(raw.encode()), len(raw.split()), word, kind, before, how, copied))
         yield pd.DataFrame(out, columns=names)
 
 
@@ -289,8 +385,8 @@ def _rates(endings: DataFrame, pair: DataFrame, alone: DataFrame, known: DataFra
 
 
 def _likelihood(rows: DataFrame, share: float) -> Column:
-    """How many times likelier an ending is in a cut text than in a whole one: of its form, as counted by role, and for plain words of the last word's rate."""
-    seen = {(r["role"], r["form"]): r["n"] for r in rows.groupBy("role", "form").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few forms
+    """How many times likelier an ending is in a cut text than in a whole one: of its form, as counted (n) by role, and for plain words of the last word's rate."""
+    seen = {(r["role"], r["form"]): r["n"] for r in rows.groupBy("role", "form").agg(F.sum("n").alias("n")).collect()}  # a few forms
     total = {role: sum(n for (x, _), n in seen.items() if x == role) for role in ("whole", "cut")}
     part = lambda role, f: (seen.get((role, f), 0) + 0.5) / (total[role] + 1)
     ratio = {f: part("cut", f) / part("whole", f) for f in {f for _, f in seen}}
@@ -300,7 +396,7 @@ def _likelihood(rows: DataFrame, share: float) -> Column:
     of_form = F.lit(1.0)
     for f, x in sorted(ratio.items()):
         of_form = F.when(F.col("form") == f, float(x)).otherwise(of_form)
-    return F.when(F.col("form").isin("plain", "sentence"), of_form * share / F.col("rate")).otherwise(of_form)
+    return F.when(F.col("form").isin(*LOOSE), of_form * share / F.col("rate")).otherwise(of_form)
 
 
 def about(df: DataFrame, rows: int, *columns: str) -> DataFrame:
@@ -314,24 +410,16 @@ def judged(df: DataFrame, key: str, source: str, text: str, complete: str | None
 
     source: canonical name of the channel, "" for null. complete: a column of texts that are known to be whole, to which the model of endings is
     fitted; without it, the records' own texts are taken for whole, as few are cut. prompt: texts that only repeat a part of it count as whole.
-    lexicon (column text): whole texts from elsewhere, of which about LEXICON by hash teach more words and how they stand at ends.
+    lexicon (column text): whole texts from elsewhere, which teach more words and how they stand at ends. All whole texts are read, and each is
+    compared with itself cut at one place that a hash tells.
     Nulls, blanks and fillers are left out; ties and repeated rows are judged each for itself; very long texts are read to their end.
     """
     kind = df.schema[key].dataType.simpleString()
     none = F.lit(None).cast("string")
-    base = df.select(F.col(key).alias("key"), F.coalesce(C.canon_name(F.col(source)), F.lit("")).alias("source"), F.lit("record").alias("role"), F.col(text).alias("raw"), (F.col(prompt) if prompt else none).alias("prompt")).where("raw is not null")
-    # of whole texts about FIT by hash, as they are and cut at a place that a hash tells
-    sure = df.select(F.col(key).alias("key"), F.col(complete or text).alias("raw")).where(F.length("raw") > 1)
-    if lexicon is not None:
-        taught = about(lexicon.select("text").where(F.length("text") > 1), LEXICON, "text")
-        sure = sure.unionByName(taught.select(F.lit(None).cast(kind).alias("key"), F.col("text").alias("raw")))
-    taken = about(sure, FIT, "key", "raw")
-    at = F.lit(1) + F.pmod(F.xxhash64(F.lit(18), "key", "raw"), F.length("raw") - 1).cast("int")
-    sample = lambda role, c: taken.select(F.lit(None).cast(kind).alias("key"), F.lit("").alias("source"), F.lit(role).alias("role"), c.alias("raw"), none.alias("prompt"))
-    shapes = base.unionByName(sample("whole", F.col("raw"))).unionByName(sample("cut", F.substring(F.col("raw"), F.lit(1), at)))
-    shapes = shapes.mapInPandas(_shapes, f"key {kind}, source string, role string, characters int, bytes int, words int, word string, kind string, before string, form string, copied boolean")
+    base = df.select(F.col(key).alias("key"), F.coalesce(C.canon_name(F.col(source)), F.lit("")).alias("source"), F.col(text).alias("raw"), (F.col(prompt) if prompt else none).alias("prompt")).where("raw is not null")
+    shapes = base.mapInPandas(_shapes, f"key {kind}, source string, characters int, bytes int, words int, word string, kind string, before string, form string, copied boolean")
     shaped = stage(shapes.withColumn("ending", F.concat_ws("\u0000", "word", "kind", "before")))
-    sized = shaped.where("role = 'record'").select("key", "source", F.explode(F.create_map(F.lit("characters"), "characters", F.lit("bytes"), "bytes", F.lit("words"), "words")).alias("unit", "length"))
+    sized = shaped.select("key", "source", F.explode(F.create_map(F.lit("characters"), "characters", F.lit("bytes"), "bytes", F.lit("words"), "words")).alias("unit", "length"))
     found = stage(hazards(sized.select("source", "unit", "length")).where("significant"))
     limits = found.select("source", "unit", "length", ((F.col("n") - F.col("expected")) / F.greatest(F.col("expected"), F.lit(0.1))).alias("excess"))
     # limits are few; should they be very many, a third of all rows may still have one and the same
@@ -341,19 +429,26 @@ def judged(df: DataFrame, key: str, source: str, text: str, complete: str | None
     near = sized.join(F.broadcast(limits), "spot") if limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else C.lookup(sized, limits, "spot", C.hot_keys(sized, "spot"))
     reached = near.groupBy("key").agg(F.max_by(F.concat_ws(" ", F.col("length").cast("string"), F.col("unit")), "excess").alias("limit"), F.max("excess").alias("excess"))
 
-    corpus = df.select(F.col(text).alias("text"), F.lit(False).alias("whole"), F.lit(complete is None).alias("alone"))
+    # whole texts count as they are and cut at a place that a hash tells
+    at = lambda key, c: F.when(F.length(c) > 1, F.lit(1) + F.pmod(F.xxhash64(F.lit(18), key, c), F.length(c) - 1)).otherwise(0).cast("int").alias("at")
+    corpus = df.select(F.col(text).alias("text"), F.lit(False).alias("whole"), F.lit(complete is None).alias("alone"), F.lit(0).alias("at") if complete else at(F.col(key), F.col(text)))
     if complete:
-        corpus = corpus.unionByName(df.select(F.col(complete).alias("text"), F.lit(True).alias("whole"), F.lit(False).alias("alone")))
+        corpus = corpus.unionByName(df.select(F.col(complete).alias("text"), F.lit(True).alias("whole"), F.lit(False).alias("alone"), at(F.col(key), F.col(complete))))
     if lexicon is not None:
-        corpus = corpus.unionByName(taught.select("text", F.lit(True).alias("whole"), F.lit(False).alias("alone")))
-    pair, alone, known, share = context_model(corpus)
-    # endings are judged once each, so that a common one costs no large join, and come back to the rows by a lookup safe from hot keys
-    rates = stage(_rates(stage(shaped.select("ending", "word", "kind", "before").distinct()), pair, alone, known, share))
-    rated = C.lookup(shaped, rates, "ending", C.hot_keys(shaped, "ending"))
-    broken = F.col("fragment") & F.col("form").isin("plain", "sentence")
-    rows = stage(rated.select("key", "source", "role", "copied", F.when(broken, "fragment").otherwise(F.col("form")).alias("form"), "rate"))
+        corpus = corpus.unionByName(lexicon.select("text", F.lit(True).alias("whole"), F.lit(False).alias("alone"), at(F.lit(None).cast(kind), F.col("text"))))
+    pair, alone, known, share, ends = context_model(corpus)
+    ends = ends.withColumn("ending", F.concat_ws("\u0000", "word", "kind", "before"))
+    # loose endings are judged once each, so that a common one costs no large join, and come back to the rows by a lookup safe from hot keys
+    loose = F.col("form").isin(*LOOSE)
+    distinct = shaped.where(loose).select("ending", "word", "kind", "before").unionByName(ends.where(loose).select("ending", "word", "kind", "before")).distinct()
+    rates = stage(_rates(stage(distinct), pair, alone, known, share))
+    counted = ends.select(none.cast(kind).alias("key"), none.alias("source"), "role", "form", F.lit(False).alias("copied"), "ending", "n")
+    every = shaped.select("key", "source", F.lit("record").alias("role"), "form", "copied", "ending", F.lit(1).cast("long").alias("n")).unionByName(counted)
+    rated = C.lookup(every.where(loose), rates, "ending", C.hot_keys(every.where(loose), "ending"))
+    rated = rated.unionByName(every.where(~loose).withColumns({"fragment": F.lit(False), "rate": F.lit(None).cast("double")}))
+    rows = stage(rated.select("key", "source", "role", "copied", F.when(F.col("fragment"), "fragment").otherwise(F.col("form")).alias("form"), "rate", "n"))
     odds = _likelihood(rows, share)
-    clear = F.avg((odds >= SURE).cast("double"))
+    clear = F.sum(F.when(odds >= SURE, F.col("n")).otherwise(0)) / F.sum("n")
     told = {r["role"]: r["x"] or 0.0 for r in rows.where("role != 'record'").groupBy("role").agg(clear.alias("x")).collect()}
     met = rows.where("role = 'record'").join(reached, "key", "left").select("key", "source", "limit", "excess", "copied", F.col("form").startswith("closed").alias("closed"), odds.alias("odds"))
     # of each source: the share of cuts without a limit, from its unmistakable endings and how many of all cuts (and of whole texts) have such

@@ -1,5 +1,7 @@
 import random
 
+import pandas as pd
+
 from frameloom.llm import truncation
 from frameloom.session import read_table
 
@@ -81,6 +83,49 @@ def test_long_words_and_fragments(spark):
     assert {r.eval_id for r in truncation.found(df, lexicon).collect() if r.eval_id < 0} == {-1, -2}
 
 
+def test_every_text_of_a_large_lexicon_counts(spark, monkeypatch):
+    model, read = truncation.context_model, []
+    monkeypatch.setattr(truncation, "context_model", lambda texts: read.append(texts.where("whole").count()) or model(texts))
+    df = spark.createDataFrame([(i, "free", None, "The red bus.", "The red bus.", 1, "u", "k") for i in range(5)], SCHEMA)
+    lexicon = spark.range(30_000).selectExpr("concat('Number ', id, ' stops.') as text")
+    assert truncation.found(df, lexicon).count() == 0 and read == [30_005]
+
+
+def test_every_whole_text_is_fitted():
+    texts = [f"The bus {i} stops here" + "." * (i % 2) for i in range(25_000)] + ["x", " - ", None]
+    at = [len(x or "") // 2 for x in texts]
+    pdf = pd.DataFrame({"text": [x or "" for x in texts], "whole": True, "alone": False, "at": at})
+    got = pd.concat(truncation._counts(iter([pdf[:9_000], pdf[9_000:]])))
+    assert got[got.role == "whole"].groupby("form").total.sum().to_dict() == {"closed": 12_500, "plain": 12_500}
+    assert got[got.role == "cut"].total.sum() == 25_000
+    tokens = got[got.role.isna()]
+    assert (tokens.total.sum(), tokens.final.sum()) == (125_001, 25_001)
+
+
+def test_counts_by_pieces(monkeypatch):
+    # texts longer than what is held count as if read at once, and flat counts are those of a loop over tokens
+    rng = random.Random(7)
+    said = [text(rng, n) + rng.choice(("", " The end", " in Paris now")) for n in (1, 2, 9, 30)]
+    pdf = pd.DataFrame({"text": said * 3, "whole": [True] * 4 + [False] * 8, "alone": [False] * 8 + [True] * 4, "at": 0})
+    names = ["before", "kind", "word"]
+    counted = lambda: pd.concat(truncation._counts(iter([pdf]))).groupby(names)[["total", "final"]].sum().astype("int64")
+    at_once, want, info = counted(), {}, truncation.Tokens()
+    for t, whole, alone in zip(pdf.text, pdf.whole, pdf.alone, strict=True):
+        before, start, parts = "", True, t.split()
+        for i, token in enumerate(parts):
+            word, first, inside, end = info[token]
+            kind, last = first if start else inside, i == len(parts) - 1
+            if not last or whole or end or alone:
+                held = want.setdefault((before, kind, word if not last or whole or end else ""), [0, 0])
+                held[0] += 1
+                held[1] += end or last
+            before, start = kind, end
+    assert {k: [*v] for k, v in zip(at_once.index, at_once.to_numpy().tolist(), strict=True)} == want
+    for held in (1, 2, 3, 7):
+        monkeypatch.setattr(truncation, "HELD", held)
+        assert counted().equals(at_once)
+
+
 def test_endings():
     info = truncation.Tokens()
     form = lambda t: truncation.form(t, truncation.inner(t).split(), info)
