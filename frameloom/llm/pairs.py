@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from . import common as C
 from . import truncation
 
@@ -25,8 +26,8 @@ from . import truncation
 COPY = 0.45
 #: Level of compression: dictionaries of a prompt's size gain nothing from higher ones.
 LEVEL = 3
-#: Labelled texts from which the dictionaries of languages are learned, the terms kept, and the occurrences that a term needs.
-LABELLED, TERMS, SEEN = 4_000, 40_000, 3
+#: Unknown words that are kept beside a dictionary, and the occurrences that a term of one needs.
+TERMS, SEEN = 40_000, 3
 #: How much one word says at most, and how far the best language has to lie before the second (natural logarithms).
 MOST, MARGIN = 3.0, 3.0
 
@@ -60,6 +61,7 @@ _REFUSAL = re.compile("|".join(f"(?:{x})" for x in REFUSALS), re.DOTALL)
 #: Parts of words one of which stands in every refusal above; they are looked for first.
 _HINTS = tuple(x.replace("+", " ") for x in "sorry apolog unable afraid declin refus comfortable permitted allowed unfortunately regrettably as+a cannot can+not can't won't will+not would+not must+not may+not not+able request answer+c answer+w description+c description+w response+c response+w something+i is+not was+not be+appropriate be+possible guideline polic rules leid nicht leider anfrage désolé regrette je+ne je+suis possible posible rejet siento puedo puede niego solicitud 抱歉 对不起 很遗憾 无法 不能".split())
 _LETTERS = re.compile(r"[^\W\d_]+")
+_FOREIGN = re.compile("[\u0250-\U0010ffff]")
 _WORD = re.compile(r"\w+")
 _MARKS = re.compile(r"<(?:image|video)>")
 
@@ -76,7 +78,7 @@ def script(text: str) -> str:
         return ""
     if letters.isascii():
         return "LATIN"
-    foreign = [x for x in letters if x > "\u024f"]
+    foreign = _FOREIGN.findall(letters)
     if 2 * len(foreign) < len(letters):
         return "LATIN"
     seen = Counter(unicodedata.name(x, "").split(" ")[0].split("-")[0] for x in foreign)
@@ -163,27 +165,47 @@ class _Packed(dict):
 COMMON = Languages({x: dict.fromkeys(v.split(), 100) for x, v in WORDS.items()})
 
 
-def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, text) to (lang, word, n): counts of a task's words in texts of Latin letters."""
+    seen: dict[str, Counter] = {}
+
+    def rows() -> pd.DataFrame:
+        made = pd.DataFrame([(lang, w, n) for lang, words in seen.items() for w, n in words.items()], columns=["lang", "word", "n"])
+        seen.clear()
+        return made
+
     for pdf in batches:
-        seen: Counter = Counter()
         for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
             if script(text) == "LATIN":
-                found = words_of(text)
-                seen.update((lang, w) for w in found)
-                seen.update((lang, "#" + t) for w in found for t in _terms(w))
+                seen.setdefault(lang, Counter()).update(words_of(text))
+        if sum(map(len, seen.values())) > truncation.HELD:
+            yield rows()
+    yield rows()
+
+
+def _part_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, word, n) to (lang, term, n): the words' three-letter parts."""
+    for pdf in batches:
+        seen: Counter = Counter()
+        for lang, word, n in zip(pdf["lang"], pdf["word"], pdf["n"], strict=True):
+            for t in _terms(word):
+                seen[lang, "#" + t] += n
         yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["lang", "term", "n"])
 
 
 def learned(labelled: DataFrame) -> Languages:
-    """Dictionaries from about LABELLED of the labelled texts (lang, text), chosen by hash: the TERMS most frequent words and parts of words.
+    """Dictionaries from all labelled texts (lang, text): all their words and parts of words.
 
     Labels are compared in lower case without signs; those without any term, and terms seen less than SEEN times, say nothing.
     """
     there = labelled.select(C.canon_name(F.col("lang")).alias("lang"), "text").where("lang is not null and text is not null")
-    counted = truncation.about(there, LABELLED, "text").mapInPandas(_term_counts, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    words = stage(there.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    parts = words.mapInPandas(_part_counts, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    # vocabularies grow much slower than texts; they come as columns, which takes the driver a few dozen bytes a term
+    counted = words.withColumnRenamed("word", "term").unionByName(parts).where(F.col("n") >= SEEN).toPandas()
     counts: dict[str, dict[str, int]] = {}
-    for r in counted.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "lang", "term").limit(TERMS).collect():
-        counts.setdefault(r["lang"], {})[r["term"]] = r["n"]
+    for lang, term, n in zip(counted["lang"], counted["term"], counted["n"].tolist(), strict=True):
+        counts.setdefault(lang, {})[term] = n
     for lang, common in WORDS.items():  # function words that a small corpus may lack
         if lang in counts:
             typical = max(1, sum(counts[lang].values()) // 1000)

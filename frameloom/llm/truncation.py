@@ -399,12 +399,6 @@ def _likelihood(rows: DataFrame, share: float) -> Column:
     return F.when(F.col("form").isin(*LOOSE), of_form * share / F.col("rate")).otherwise(of_form)
 
 
-def about(df: DataFrame, rows: int, *columns: str) -> DataFrame:
-    """About so many rows of df, chosen by a hash of columns."""
-    part = min(1.0, rows / max(1, df.count()))
-    return df.where(F.pmod(F.xxhash64(F.lit(17), *columns), F.lit(1 << 30)) < int(part * (1 << 30)))
-
-
 def judged(df: DataFrame, key: str, source: str, text: str, complete: str | None = None, prompt: str | None = None, lexicon: DataFrame | None = None) -> DataFrame:
     """(key, source, limit, cut): each record with a text that isn't a filler, whether it was cut, and at which limit (null: none).
 

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from frameloom.llm import pairs
@@ -75,6 +77,16 @@ def test_without_labelled_texts(spark):
     assert pairs.learned(spark.createDataFrame([], "lang string, text string")) is pairs.COMMON
 
 
+def test_every_labelled_text_and_term_counts(spark):
+    # 20,000 texts, of which a sample would leave out most, and more words than a list of the most frequent ones would hold
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    rows = [(("en", "de")[i % 2], f"{word(i)}x {word(i)}y {word(i)}z " * 3) for i in range(20_000)]
+    known = pairs.learned(spark.createDataFrame(rows, "lang string, text string"))
+    assert {f"{word(i)}{x}" for i in range(20_000) for x in "xyz"} <= set(known.packed.words)
+    terms = Counter(t for _, text in rows for w in pairs.words_of(text) for t in pairs._terms(w))
+    assert {t for t, n in terms.items() if n >= 2 * pairs.SEEN} <= set(known.parts)
+
+
 @pytest.mark.parametrize(
     "said",
     [
